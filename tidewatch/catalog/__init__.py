@@ -1,0 +1,19 @@
+"""All registered queries."""
+
+
+def _load():
+    from tidewatch.catalog import base
+
+    try:
+        from tidewatch.catalog import rows  # noqa: F401
+    except ImportError:
+        raise
+    return base
+
+
+def queries() -> dict:
+    return dict(_load().QUERIES)
+
+
+def oracle_sql() -> dict:
+    return dict(_load().ORACLE)

@@ -126,3 +126,8 @@ def separation_points(df: DataFrame, kind: str = "anomaly_type", keep=()) -> Dat
     """(kind, packet_rate, bytes_per_packet) with both rates capped at their 99th percentile."""
     return clip_top(df.select(*keep, kind, "packet_rate", "bytes_per_packet"),
                     ["packet_rate", "bytes_per_packet"])
+
+
+def first_records(df: DataFrame, n: int, order=("timestamp", "event_id")) -> DataFrame:
+    """The first n records of a replay."""
+    return df.orderBy(*order).limit(n)

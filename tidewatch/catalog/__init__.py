@@ -5,7 +5,7 @@ def _load():
     from tidewatch.catalog import base
 
     try:
-        from tidewatch.catalog import rows  # noqa: F401
+        from tidewatch.catalog import evaluation, rows, windows  # noqa: F401
     except ImportError:
         raise
     return base

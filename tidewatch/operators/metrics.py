@@ -67,11 +67,13 @@ def target_flags(metrics: DataFrame) -> DataFrame:
 
 def accuracy_report(df: DataFrame) -> DataFrame:
     """Per class, accuracy, macro and weighted rows: (row_name, precision, recall, f1, support)."""
+    none = F.lit(0).cast("long")
     cells = df.groupBy("label", "pred").agg(F.count(F.lit(1)).alias("n"))
     sides = cells.select(F.inline(F.array(
-        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), F.lit(0).alias("guessed"),
-                 F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(0).alias("hit")),
-        F.struct(F.col("pred").alias("cls"), F.lit(0), F.col("n"), F.lit(0)),
+        F.struct(F.col("label").alias("cls"), F.col("n").alias("support"), none.alias("guessed"),
+                 F.when(F.col("label") == F.col("pred"), F.col("n")).otherwise(none).alias("hit")),
+        F.struct(F.col("pred").alias("cls"), none.alias("support"), F.col("n").alias("guessed"),
+                 none.alias("hit")),
     )))
     classes = sides.groupBy("cls").agg(
         F.sum("support").alias("support"), F.sum("guessed").alias("guessed"), F.sum("hit").alias("hit"))

@@ -136,7 +136,8 @@ def exact_percentile(
     """Linear-interpolated percentiles of all non-null values: (by, prob, value).
 
     ``percentile`` would hold every distinct value of a group in one task. Here a sketch brackets
-    each percentile first (rank error at most n / accuracy), a second pass counts the values
+    each percentile first (rank error at most n / accuracy, so four times that on both sides is
+    safe; groups of up to ``accuracy`` rows need no bracket), a second pass counts the values
     below the bracket and keeps only those inside it, and the exact ranks are read off prefix
     sums over that small remainder. With ``weight``, a value counts that many times; the sketch
     does not know weights, so all distinct values are climbed.
@@ -146,7 +147,7 @@ def exact_percentile(
         return _weighted_percentile(df, c, probs, by, weight)
     values = df.select(*by, F.col(c).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v"))
-    slack = 2.0 / accuracy
+    slack = 4.0 / accuracy
     edges = sorted({min(max(p + s, 0.0), 1.0) for p in probs for s in (-slack, slack)})
     spot = {e: i for i, e in enumerate(edges)}
     sketch = values.groupBy(*by).agg(
@@ -157,10 +158,10 @@ def exact_percentile(
     )
 
     def edge(p: float, s: float) -> Column:
-        at = p + s
-        if at <= 0:
-            return F.col("_min")
-        return F.col("_max") if at >= 1 else F.col("_edges")[spot[at]]
+        outer = F.col("_min") if s < 0 else F.col("_max")
+        if not 0 < p + s < 1:
+            return outer
+        return F.when(F.col("_n") <= accuracy, outer).otherwise(F.col("_edges")[spot[p + s]])
 
     targets = sketch.select(*by, F.inline(F.array(*[
         F.struct(

@@ -33,7 +33,8 @@ def _half_means(c: Column, window: int, frame) -> tuple[Column, Column, Column]:
     cut = F.floor(n / 2).cast("int")
 
     def mean(values):
-        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+        # Halo rows at the start of a chunk have no values; they are dropped later.
+        return F.try_divide(F.aggregate(values, F.lit(0.0), lambda a, x: a + x), F.size(values))
 
     full = n == window
     first = F.when(full, F.avg(c).over(frame(-(window - 1), -(window - half)))).otherwise(

@@ -1,19 +1,11 @@
 """All registered queries."""
 
-
-def _load():
-    from tidewatch.catalog import base
-
-    try:
-        from tidewatch.catalog import evaluation, rows, windows  # noqa: F401
-    except ImportError:
-        raise
-    return base
+from tidewatch.catalog import base, detection, evaluation, rows, windows  # noqa: F401
 
 
 def queries() -> dict:
-    return dict(_load().QUERIES)
+    return dict(base.QUERIES)
 
 
 def oracle_sql() -> dict:
-    return dict(_load().ORACLE)
+    return dict(base.ORACLE)

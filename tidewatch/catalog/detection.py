@@ -17,7 +17,7 @@ from tidewatch.schemas import (
     CONNECTION_FEATURES, EVENT_SCHEMA, FLOW_FEATURES, TARGET_AUC, TARGET_FPR, TARGET_PRECISION,
     TARGET_RECALL,
 )
-from tidewatch.session import scratch
+from tidewatch.session import scratch, settle
 from tidewatch.sources import adapters, readers, writers
 from tidewatch.streaming import detect
 
@@ -53,14 +53,14 @@ def missing_field_defaults(spark, d):
 def scored_flows(spark, d):
     """Flows with features, the record index and a score that SQL can state too."""
     rows = record_index(rolled(spark, d), ["timestamp", "event_id"])
-    return rows.withColumn("anomaly_score", F.least(F.col("bytes_transferred") / 400000.0, F.lit(1.0)))
+    return rows.withColumn("anomaly_score", F.least(F.col("bytes_transferred") / 410000.0, F.lit(1.0)))
 
 
 def alert_rows(spark, d, ruleset="engine"):
     return al.build_alerts(scored_flows(spark, d).where("anomaly_score >= 0.45"), ruleset=ruleset, keep=("event_id",))
 
 
-_ALERTS = f"""scored AS (SELECT *, least(bytes_transferred / 400000.0E0, 1.0E0) AS score FROM indexed),
+_ALERTS = f"""scored AS (SELECT *, least(bytes_transferred / 410000.0E0, 1.0E0) AS score FROM indexed),
     alerts AS (SELECT event_id, timestamp, {ENGINE_TYPE} AS anomaly_type, {CASE_SEVERITY} AS severity, round(score, 4) AS confidence,
     src_ip, dst_ip, protocol, record_index, duration, packet_rate, label FROM scored WHERE score >= 0.45)"""
 
@@ -152,7 +152,7 @@ def connection_models(spark, d):
 
 @query("isolation_forest_fit")
 def isolation_forest_fit(spark, d):
-    rows = rolled(spark, d).where("label = 0")
+    rows = settle(rolled(spark, d).where("label = 0"))
     scaled = apply_scaler(rows, fit_scaler(rows, FLOW_FEATURES))
     return grow_forests(scaled, FLOW_FEATURES, "event_id", 100, 256, 42)
 
@@ -403,7 +403,7 @@ def stream_hourly_volume(spark, d):
 
 @query("stream_counters", sql(
     """SELECT count(*) AS records, count(*) FILTER (label = 1) AS known_anomalies, count(*) AS alerts_fired,
-    count(*) FILTER (label = 1) AS true_positives, count(*) FILTER (label = 0) AS false_positives, 0 AS late_records FROM flows""", "flows"))
+    count(*) FILTER (label = 1) AS true_positives, count(*) FILTER (label = 0) AS false_positives, CAST(0 AS BIGINT) AS late_records FROM flows""", "flows"))
 def stream_counters(spark, d):
     return detect.stream_summary(detector_run(spark, d, 0.0).results(spark, "counters")).drop(
         "precision", "recall", "false_positive_rate")

@@ -209,8 +209,7 @@ def score_histogram(spark, d):
     return profiles.clipped_histogram(adapters.scores(spark, d), "score", bins=50, clip=None)
 
 
-_CORR = ["duration", "bytes_transferred", "packets_count", "bytes_per_packet", "packet_rate", "bytes_rate",
-         "hour_of_day", "day_of_week"]
+_CORR = [c for c in FLOW_FEATURES if not c.endswith("_5min")]
 
 
 @query("correlation_matrix", sql(

@@ -18,6 +18,8 @@ from tidewatch.sources.writers import load_params, load_table, save_tables
 
 EULER_GAMMA = 0.5772156649015329
 MAX_MODEL_NODES = 20_000_000
+# Rows walked through all trees at once; the work arrays then stay in cache.
+BLOCK_ROWS = 512
 
 
 def mean_path(n):
@@ -96,7 +98,7 @@ class NodeArrays:
         self.depth = max(math.ceil(math.log2(slots + 1)) - 1, 0)
         width = 2 ** (self.depth + 1) - 1
         shape = (len(self.forests), num_trees, width)
-        self.feature = np.zeros(shape, dtype=np.int32)
+        self.feature = np.zeros(shape, dtype=np.intp)
         self.cut = np.full(shape, np.inf)
         self.path = np.full(shape, np.nan)
         f = np.searchsorted(self.forests, nodes["forest"].to_numpy())
@@ -117,18 +119,32 @@ class NodeArrays:
     def raw_scores(self, x: np.ndarray, forest: int = 0) -> np.ndarray:
         """2 ^ (-mean path / normaliser) for each row of x."""
         f = int(np.searchsorted(self.forests, forest))
-        flat = np.ascontiguousarray(x).ravel()
-        base = np.arange(len(x), dtype=np.int64) * x.shape[1]
-        total = np.zeros(len(x))
-        for feature, cut, path in zip(self.feature[f], self.cut[f], self.path[f]):
-            slot = np.zeros(len(x), dtype=np.int64)
+        feature, cut, path = (t[f].ravel() for t in (self.feature, self.cut, self.path))
+        trees, width = self.feature.shape[1:]
+        root = np.arange(trees, dtype=np.intp) * width
+        # In the flat arrays the children of slot g of tree t are at 2 g + 1 - root[t] and next to it.
+        shift = (1 - root)[None, :]
+        total = np.empty(len(x))
+        for lo in range(0, len(x), BLOCK_ROWS):
+            block = np.ascontiguousarray(x[lo:lo + BLOCK_ROWS])
+            flat, shape = block.ravel(), (len(block), trees)
+            start = (np.arange(len(block), dtype=np.intp) * block.shape[1])[:, None]
+            slot = np.broadcast_to(root, shape).copy()
+            at, value, limit = np.empty(shape, np.intp), np.empty(shape), np.empty(shape)
+            right = np.empty(shape, bool)
             for _ in range(self.depth):
-                right = flat.take(base + feature.take(slot)) > cut.take(slot)
-                slot = 2 * slot + 1 + right
-            total += path.take(slot)
-        mean = total / len(self.feature[f])
+                np.take(feature, slot, out=at, mode="clip")
+                at += start
+                np.take(flat, at, out=value, mode="clip")
+                np.take(cut, slot, out=limit, mode="clip")
+                np.greater(value, limit, out=right)
+                slot *= 2
+                slot += shift
+                slot += right
+            np.take(path, slot, out=value, mode="clip")
+            total[lo:lo + BLOCK_ROWS] = value.sum(axis=1)
         norm = self.norm[f] if self.norm[f] > 0 else 1.0
-        return np.power(2.0, -mean / norm)
+        return np.power(2.0, -total / trees / norm)
 
 
 @dataclass(frozen=True)
@@ -149,7 +165,6 @@ class IsolationForestModel:
         if self.nodes is None or not len(self.nodes):
             raise RuntimeError("the forest is not fitted")
         shared = self.spark.sparkContext.broadcast(NodeArrays(self.nodes, self.num_trees))
-        step = 8192
 
         @F.pandas_udf(T.DoubleType())
         def score(which: pd.Series, *cols: pd.Series) -> pd.Series:
@@ -159,9 +174,7 @@ class IsolationForestModel:
             out = np.empty(len(x))
             for one in np.unique(pick):
                 at = np.flatnonzero(pick == one)
-                for lo in range(0, len(at), step):
-                    sub = at[lo:lo + step]
-                    out[sub] = arrays.raw_scores(x[sub], one)
+                out[at] = arrays.raw_scores(x[at], one)
             return pd.Series(out)
 
         which = F.lit(0) if forest is None else as_column(forest)

@@ -81,18 +81,23 @@ def running_totals(
     )
 
 
-def chunked(df: DataFrame, index: str, halo: int, size: int | None = None) -> DataFrame:
+def chunked(
+    df: DataFrame, index: str, halo: int, keys: tuple = (), size: int | None = None,
+) -> DataFrame:
     """Cut a 0-based index into chunks; each chunk also gets the ``halo`` rows before it.
 
     Windows of at most ``halo`` preceding rows then run with PARTITION BY ``_chunk``, in groups
-    of at most size + halo rows. Keep the rows with ``_own`` afterwards.
+    of at most size + halo rows. Keep the rows with ``_own`` afterwards. The shuffle is explicit,
+    with a fixed number of partitions, because frames cost much more time than bytes: adaptive
+    coalescing by size would leave most cores idle.
     """
     size = max(size or 2048, 8 * halo, 1)
     chunk = F.floor(F.col(index) / size).cast("long")
     spills = F.pmod(F.col(index), F.lit(size)) >= size - halo
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.withColumn(
         "_chunk", F.explode(F.when(spills, F.array(chunk, chunk + 1)).otherwise(F.array(chunk)))
-    ).withColumn("_own", F.col("_chunk") == chunk)
+    ).withColumn("_own", F.col("_chunk") == chunk).repartition(parts, *keys, "_chunk")
 
 
 def own_rows(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.features import normal_only
 from tidewatch.operators.ordering import hash_rank, order_hash
 from tidewatch.schemas import CONNECTION_CATEGORIES, CONNECTION_FEATURES
+from tidewatch.session import settle
 
 SEED = 42
 # Largest encoder that may be broadcast; a larger one is joined by shuffle.
@@ -17,7 +18,8 @@ BROADCAST_CATEGORIES = 1_000_000
 def fit_frequency_encoder(df: DataFrame, cols=CONNECTION_CATEGORIES) -> DataFrame:
     """(column, category, freq): the share of each category, all columns in one aggregation.
 
-    A null is the category ``nan``.
+    A null is the category ``nan``. The result, one row per category, is pinned because every
+    encoded column joins it.
     """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"),
@@ -28,7 +30,7 @@ def fit_frequency_encoder(df: DataFrame, cols=CONNECTION_CATEGORIES) -> DataFram
         F.count(F.lit(1)).alias("n"))
     # One row per distinct category, so this window is over the small table.
     share = F.col("n") / F.sum("n").over(Window.partitionBy("column"))
-    return counts.select("column", "category", share.alias("freq"))
+    return settle(counts.select("column", "category", share.alias("freq")))
 
 
 def encode(df: DataFrame, encoder: DataFrame, cols=CONNECTION_CATEGORIES) -> DataFrame:
@@ -114,9 +116,10 @@ def unsupervised_split(
     the normal training rows only.
     """
     shares = {"test": test_share, "val": val_share, "train": 1.0 - test_share - val_share}
-    split = stratified_split(df, shares, key, seed=seed)
-    split = split.where((F.col("split") != "train") | (F.col("label") == 0))
-    fit_on = df if encoder_rows == "all" else split.where("split = 'train'")
+    # Pinned once: encoder, scaler and the result are narrow passes over the split rows.
+    everything = settle(stratified_split(df, shares, key, seed=seed))
+    split = everything.where((F.col("split") != "train") | (F.col("label") == 0))
+    fit_on = everything if encoder_rows == "all" else split.where("split = 'train'")
     encoder = fit_frequency_encoder(fit_on, categories)
     encoded = encode(split, encoder, categories)
     scaler = fit_scaler(normal_only(encoded.where("split = 'train'")), cols)

@@ -1,10 +1,9 @@
 """Alert breakdowns, latency and throughput summaries, and the exploratory aggregates."""
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidewatch.operators.ordering import exact_percentile
 
@@ -90,19 +89,49 @@ def clipped_histogram(
         F.count(F.lit(1)).alias("n"))
 
 
+def _pair_sums(cols: list[str]):
+    """Map body: per partition one row of sums for each column pair, over rows with both values."""
+    a, b = np.triu_indices(len(cols))
+
+    def run(batches):
+        total = 0.0
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float)
+            there = ~np.isnan(x)
+            m = there.astype(float)
+            x = np.where(there, x, 0.0)
+            n, sx, sxx, sxy = m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x
+            total = total + np.stack(
+                [n[a, b], sx[a, b], sx[b, a], sxx[a, b], sxx[b, a], sxy[a, b]], axis=1)
+        if np.ndim(total):
+            yield pd.DataFrame(
+                np.column_stack([a, b, total]), columns=["a", "b", "n", "sx", "sy", "sxx", "syy", "sxy"])
+
+    return run
+
+
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of all column pairs in long form.
+    """(col_a, col_b, corr): Pearson correlation of all column pairs, rows with both values.
 
-    One distributed pass; what reaches the driver is a matrix of len(cols) squared numbers.
+    Columns are centred first, then every partition emits one row of sums per pair; the shuffle
+    carries only those, whatever the number of rows.
     """
-    packed = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols])).select("_v")
-    m = Correlation.corr(packed, "_v").first()[0].toArray()
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    schema = T.StructType([
-        T.StructField("col_a", T.StringType()), T.StructField("col_b", T.StringType()),
-        T.StructField("corr", T.DoubleType())])
-    return df.sparkSession.createDataFrame(rows, schema)
+    cols = list(cols)
+    means = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)])
+    centred = df.crossJoin(F.broadcast(means)).select(
+        *[(F.col(c).cast("double") - F.col(f"_m{i}")).alias(c) for i, c in enumerate(cols)])
+    sums = centred.mapInPandas(
+        _pair_sums(cols), "a double, b double, n double, sx double, sy double, sxx double, syy double, sxy double"
+    ).groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n, sx, sy = F.col("n"), F.col("sx"), F.col("sy")
+    spread = F.sqrt((n * F.col("sxx") - sx * sx) * (n * F.col("syy") - sy * sy))
+    r = F.when(spread > 0, (n * F.col("sxy") - sx * sy) / spread)
+    names = F.array(*[F.lit(c) for c in cols])
+    sides = F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")),
+                    F.struct(F.col("b").alias("x"), F.col("a").alias("y")))
+    both = F.when(F.col("a") == F.col("b"), F.slice(sides, 1, 1)).otherwise(sides)
+    return sums.select(r.alias("corr"), F.inline(both)).select(
+        names[F.col("x").cast("int")].alias("col_a"), names[F.col("y").cast("int")].alias("col_b"), "corr")
 
 
 def hourly_volume(df: DataFrame) -> DataFrame:

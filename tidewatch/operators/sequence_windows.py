@@ -11,13 +11,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.operators.ordering import chunked, own_rows
+from tidewatch.session import settle
 
 INDEX = "record_index"
 
 
+def _keys(partition: str | None) -> tuple:
+    return (partition,) if partition else ()
+
+
 def _frames(partition: str | None, index: str = INDEX):
-    keys = [partition, "_chunk"] if partition else ["_chunk"]
-    ordered = Window.partitionBy(*keys).orderBy(index)
+    ordered = Window.partitionBy(*_keys(partition), "_chunk").orderBy(index)
     return lambda start, end=0: ordered.rowsBetween(start, end)
 
 
@@ -58,7 +62,7 @@ def sequence_windows(
 ) -> DataFrame:
     """Each record with its ``length - 1`` predecessors as ``window`` (array of vectors)."""
     frame = _frames(partition, index)
-    cut = chunked(df, index, length - 1)
+    cut = chunked(df, index, length - 1, _keys(partition))
     rows = cut.withColumn("window", F.collect_list(features).over(frame(-(length - 1))))
     return own_rows(rows).where(F.size("window") == length)
 
@@ -79,7 +83,7 @@ def rolling_score_baseline(
     frame = _frames(partition)
     s = F.col(score)
     n, first, second = _half_means(s, window, frame)
-    out = chunked(rows, INDEX, window - 1).withColumns({
+    out = chunked(rows, INDEX, window - 1, _keys(partition)).withColumns({
         "_n": n,
         "_delta": second - first,
         "baseline_mean": F.avg(s).over(frame(-(window - 1))),
@@ -135,7 +139,7 @@ def ddos_spike(
 ) -> DataFrame:
     """Add ``spike`` (0/1) with the baseline, current rate, ratio and sources it is based on."""
     frame = _frames(partition)
-    out = chunked(df, INDEX, max(window, 20) - 1).withColumns({
+    out = chunked(df, INDEX, max(window, 20) - 1, _keys(partition)).withColumns({
         "_n": F.count(F.lit(1)).over(frame(-(window - 1))),
         "_sorted": F.sort_array(F.collect_list(rate).over(frame(-(window - 1), -5))),
         "spike_rate": F.avg(rate).over(frame(-4)),
@@ -158,7 +162,7 @@ def packet_loss_trend(
     """Add ``loss_level`` (CRITICAL, WARN or null) from the two halves of the trailing window."""
     frame = _frames(partition)
     n, first, second = _half_means(F.col(rate), window, frame)
-    out = chunked(df, INDEX, window - 1).withColumns({
+    out = chunked(df, INDEX, window - 1, _keys(partition)).withColumns({
         "_n": n, "loss_early": first, "loss_late": second,
     }).withColumn(
         "loss_drop",
@@ -246,6 +250,7 @@ def alert_cooldown(
     chunks = points.select(
         *keys, place.alias("_place"), (F.col(INDEX) - place * chunk).cast("int").alias("_i")
     ).groupBy(*keys, "_place").agg(F.sort_array(F.collect_list("_i")).alias("_at"))
+    chunks = settle(chunks)
 
     def advance(free, i):
         return F.when(i >= free, i + cooldown).otherwise(free)

@@ -10,7 +10,7 @@ from tidewatch.operators.prep import apply_scaler, encode
 from tidewatch.operators.profiles import batch_summary
 from tidewatch.plans.train import ScaledForest
 from tidewatch.sources.checks import prepare_user_input
-from tidewatch.sources.readers import _read
+from tidewatch.sources.readers import read_as
 from tidewatch.schemas import CONNECTION_SCHEMA
 from tidewatch.sources.writers import with_prediction
 
@@ -61,4 +61,4 @@ def score_file(
     encoder: DataFrame, fmt: str = "csv",
 ) -> DataFrame:
     """Score a file of connections."""
-    return score_connections(_read(spark.read, CONNECTION_SCHEMA, path, fmt), model, scaler, encoder)
+    return score_connections(read_as(spark.read, CONNECTION_SCHEMA, path, fmt), model, scaler, encoder)

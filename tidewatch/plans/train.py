@@ -57,7 +57,8 @@ class ScaledForest:
 def fit_scaled_forest(df: DataFrame, cols: list[str], key: str,
                       forest: IsolationForest = IsolationForest()) -> ScaledForest:
     """Scaler and forest on the rows with label 0."""
-    normal = fill_features(normal_only(df), cols)
+    # Pinned: the scaler, the tree samples and the calibration each read the training rows.
+    normal = settle(fill_features(normal_only(df), cols).select(key, *cols))
     scaler = scaler_params(fit_scaler(normal, cols))
     return ScaledForest(forest.fit(apply_scaler(normal, scaler), cols, key), scaler)
 
@@ -86,11 +87,9 @@ def train(df: DataFrame, key: str, models=("forest", "lof"), cols=CONNECTION_FEA
           forest: IsolationForest = IsolationForest(), lof: LocalOutlierFactor = LocalOutlierFactor()):
     """Split, encode and scale connections, then fit the asked detectors on normal train rows.
 
-    Returns (splits, scaler, encoder, {name: model}); the splits are pinned because every later
-    step reads them.
+    Returns (splits, scaler, encoder, {name: model}).
     """
     splits, scaler, encoder = unsupervised_split(df, key, cols)
-    splits = settle(splits)
     normal = splits.where("split = 'train'")
     fitted = {}
     if "forest" in models:

@@ -47,9 +47,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and continue from there.
+    """Write ``df`` as a table in the shared folder and continue from there.
 
-    Used where two later branches must see the very same physical partitions.
+    Cuts the lineage where a result is read several times or where later branches must agree on
+    physical part numbers. A parquet table rather than a checkpoint: later passes read only the
+    columns they need, and the planner knows its size.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

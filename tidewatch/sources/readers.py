@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from tidewatch.schemas import CONNECTION_SCHEMA, FLOW_SCHEMA
 
 
-def _read(reader, schema: T.StructType, path: str, fmt: str) -> DataFrame:
+def read_as(reader, schema: T.StructType, path: str, fmt: str) -> DataFrame:
     if fmt == "csv":
         reader = reader.option("header", True)
     elif fmt not in ("parquet", "orc", "json"):
@@ -25,13 +25,13 @@ def load_connections(
     spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = CONNECTION_SCHEMA
 ) -> DataFrame:
     """Connection records. A missing path fails with Spark's PATH_NOT_FOUND."""
-    return clean_connections(_read(spark.read, schema, path, fmt))
+    return clean_connections(read_as(spark.read, schema, path, fmt))
 
 
 def load_flows(
     spark: SparkSession, path: str, fmt: str = "csv", schema: T.StructType = FLOW_SCHEMA
 ) -> DataFrame:
-    return _read(spark.read, schema, path, fmt)
+    return read_as(spark.read, schema, path, fmt)
 
 
 def read_flow_stream(
@@ -46,7 +46,7 @@ def read_flow_stream(
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return _read(reader, schema, path, fmt)
+    return read_as(reader, schema, path, fmt)
 
 
 def parse_timestamps(df: DataFrame, c: str = "timestamp") -> DataFrame:

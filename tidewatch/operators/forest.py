@@ -51,7 +51,7 @@ def _grow(values: np.ndarray, rng: np.random.Generator, depth_limit: int) -> lis
 
 
 def _grower(cols: list[str], key: str, sample: int, seed: int):
-    def grow(group, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         forest, tree = int(group[0]), int(group[1])
         rows = pdf.sort_values(["_u", key]).head(sample)
         values = rows[cols].to_numpy(dtype=float)

@@ -134,6 +134,41 @@ def hash_rank(df: DataFrame, key: str, by: str, seed: int, digits: int = 4) -> D
     )
 
 
+def hash_limits(
+    df: DataFrame, shares: list[float], key: str, by: str, seed: int, digits: int = 4,
+) -> DataFrame:
+    """(_by, _limit0, _limit1, ...): per stratum the md5 up to which each share of it reaches.
+
+    Bucket counts find the bucket of each limit, and only that bucket (1 / 16^digits of the
+    stratum) is ranked; one row per stratum comes out.
+    """
+    hashed = df.select(F.col(by).alias("_by"), order_hash(seed, key).alias("_h")).withColumn(
+        "_bucket", F.substring("_h", 1, digits))
+    counts = hashed.groupBy("_by", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    climb = Window.partitionBy("_by").orderBy("_bucket").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    sized = counts.select(
+        "_by", "_bucket", "_n", F.sum("_n").over(climb).alias("_upto"),
+        F.sum("_n").over(Window.partitionBy("_by")).alias("_size"))
+    wanted = sized.withColumn("_want", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"),
+                 F.ceil(F.round(F.lit(share) * F.col("_size"), 6)).alias("rows"))
+        for i, share in enumerate(shares)
+    ])))
+    before = F.col("_upto") - F.col("_n")
+    spots = wanted.where((before < F.col("_want.rows")) & (F.col("_want.rows") <= F.col("_upto"))).select(
+        F.col("_by").alias("_b"), F.col("_bucket").alias("_k"), F.col("_want.i").alias("_i"),
+        (F.col("_want.rows") - before).alias("_nth"))
+    inside = hashed.join(
+        F.broadcast(spots), F.col("_by").eqNullSafe(F.col("_b")) & (F.col("_bucket") == F.col("_k")))
+    place = F.row_number().over(Window.partitionBy("_by", "_i").orderBy("_h"))
+    at = inside.withColumn("_r", place).where("_r = _nth")
+    limits = [F.max(F.when(F.col("_i") == i, F.col("_h"))).alias(f"_limit{i}") for i in range(len(shares))]
+    return counts.select("_by").distinct().alias("s").join(
+        at.groupBy(F.col("_by").alias("_g")).agg(*limits), F.col("_by").eqNullSafe(F.col("_g")), "left"
+    ).drop("_g")
+
+
 def exact_percentile(
     df: DataFrame, c: str, probs: list[float], by: tuple = (), accuracy: int = 10000,
     weight: str | None = None,

@@ -2,11 +2,13 @@
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.features import normal_only
-from tidewatch.operators.ordering import hash_rank, order_hash
+from tidewatch.operators.ordering import hash_limits, hash_rank, order_hash
 from tidewatch.schemas import CONNECTION_CATEGORIES, CONNECTION_FEATURES
 from tidewatch.session import settle
 
@@ -49,21 +51,52 @@ def encode(df: DataFrame, encoder: DataFrame, cols=CONNECTION_CATEGORIES) -> Dat
     return df.select(*names)
 
 
+def _moments(cols: list[str]):
+    """Map body: per partition one row per column with count, mean, squared deviations, range."""
+
+    def run(batches):
+        n = mean = m2 = None
+        for pdf in batches:
+            x = pdf[cols].to_numpy(dtype=float)
+            there = ~np.isnan(x)
+            count = there.sum(axis=0).astype(float)
+            centre = np.where(there, x, 0.0).sum(axis=0) / np.maximum(count, 1)
+            spread = (np.where(there, x - centre, 0.0) ** 2).sum(axis=0)
+            low, high = (np.where(there, x, fill) for fill in (np.inf, -np.inf))
+            low, high = low.min(axis=0, initial=np.inf), high.max(axis=0, initial=-np.inf)
+            if n is None:
+                n, mean, m2, lo, hi = count, centre, spread, low, high
+                continue
+            total, gap = np.maximum(n + count, 1), centre - mean
+            m2 = m2 + spread + gap * gap * n * count / total
+            mean, n = mean + gap * count / total, n + count
+            lo, hi = np.minimum(lo, low), np.maximum(hi, high)
+        if n is not None:
+            yield pd.DataFrame({"position": range(len(cols)), "column": cols, "n": n, "mean": mean,
+                                "m2": m2, "lo": lo, "hi": hi})
+
+    return run
+
+
 def fit_scaler(df: DataFrame, cols) -> DataFrame:
-    """(column, position, mean, std): population deviation, 1 where it is 0; one aggregation."""
-    stats = df.agg(*[
-        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"_{i}")
-        for i, c in enumerate(cols)
-    ])
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"), F.lit(i).alias("position"),
-            F.col(f"_{i}.mean").alias("mean"),
-            F.when(F.col(f"_{i}.std") == 0, 1.0).otherwise(F.col(f"_{i}.std")).alias("std"),
-        )
-        for i, c in enumerate(cols)
-    ])
-    return stats.select(F.inline(rows))
+    """(column, position, mean, std): population deviation, 1 where all values are equal.
+
+    One pass; every partition is reduced to a row per column, which are then merged. As SQL
+    aggregates, two per column, this would outgrow generated code with 41 columns.
+    """
+    cols = list(cols)
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).mapInPandas(
+        _moments(cols), "position int, column string, n double, mean double, m2 double, lo double, hi double")
+    every = Window.partitionBy("position", "column")
+    centred = parts.where("n > 0").withColumn(
+        "_mean", F.sum(F.col("n") * F.col("mean")).over(every) / F.sum("n").over(every))
+    gap = F.col("mean") - F.col("_mean")
+    merged = centred.groupBy("position", "column").agg(
+        F.max("_mean").alias("mean"),
+        F.sqrt(F.sum(F.col("m2") + F.col("n") * gap * gap) / F.sum("n")).alias("std"),
+        (F.min("lo") == F.max("hi")).alias("_same"))
+    return merged.select("column", "position", "mean",
+                         F.when(F.col("_same") | (F.col("std") == 0), 1.0).otherwise(F.col("std")).alias("std"))
 
 
 def scaler_params(scaler: DataFrame) -> dict[str, tuple[float, float]]:
@@ -84,18 +117,23 @@ def apply_scaler(df: DataFrame, scaler) -> DataFrame:
 def stratified_split(
     df: DataFrame, shares: dict[str, float], key: str, strata: str = "label", seed: int = SEED,
 ) -> DataFrame:
-    """Add ``split``: exact shares within every stratum, assigned in md5 order of the key.
+    """Add ``split``: exact shares within every stratum, assigned in md5 order of a unique key.
 
-    The last name takes the remainder; the others take ceil(share * stratum size).
+    The last name takes the remainder; the others take ceil(share * stratum size). Rows are not
+    moved: they are compared with one hash limit per stratum and split.
     """
-    ranked = hash_rank(df, key, strata, seed)
     *named, rest = shares
-    split, upto = F, 0.0
-    for name in named:
-        upto += shares[name]
-        split = split.when(F.col("_rank") <= F.ceil(F.round(F.lit(upto) * F.col("_size"), 6)), name)
-    split = split.otherwise(rest) if named else F.lit(rest)
-    return ranked.withColumn("split", split).drop("_rank", "_size")
+    if not named:
+        return df.withColumn("split", F.lit(rest))
+    upto = [sum(shares[n] for n in named[: i + 1]) for i in range(len(named))]
+    # One row per stratum, pinned: every pass over the split rows joins it.
+    limits = F.broadcast(settle(hash_limits(df, upto, key, strata, seed)))
+    split = F
+    for i, name in enumerate(named):
+        split = split.when(F.col("_h") <= F.coalesce(F.col(f"_limit{i}"), F.lit("")), name)
+    return df.withColumn("_h", order_hash(seed, key)).join(
+        limits, F.col(strata).eqNullSafe(F.col("_by"))
+    ).select(*df.columns, split.otherwise(rest).alias("split"))
 
 
 def stratified_kfold(
@@ -116,8 +154,8 @@ def unsupervised_split(
     the normal training rows only.
     """
     shares = {"test": test_share, "val": val_share, "train": 1.0 - test_share - val_share}
-    # Pinned once: encoder, scaler and the result are narrow passes over the split rows.
-    everything = settle(stratified_split(df, shares, key, seed=seed))
+    # Pinned once: hash limits, encoder, scaler and the result are narrow passes over the rows.
+    everything = stratified_split(settle(df), shares, key, seed=seed)
     split = everything.where((F.col("split") != "train") | (F.col("label") == 0))
     fit_on = everything if encoder_rows == "all" else split.where("split = 'train'")
     encoder = fit_frequency_encoder(fit_on, categories)

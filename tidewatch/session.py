@@ -14,6 +14,8 @@ def session(app: str = "tidewatch", master: str | None = None, **conf) -> SparkS
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # The JIT skips methods beyond 8000 bytes of bytecode; wide rows run faster in smaller ones.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)

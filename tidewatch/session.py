@@ -1,6 +1,7 @@
 """Session defaults and durable cut points."""
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +22,22 @@ def session(app: str = "tidewatch", master: str | None = None, **conf) -> SparkS
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return ship(builder.getOrCreate())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to the Python workers of ``spark``, once per application.
+
+    Workers import the functions they run by name. Spark serves the driver's archive to each
+    executor, also to those that join later, so nothing has to be installed on the cluster.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "_tidewatch_shipped", False):
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="tidewatch-package-")
+        context.addPyFile(shutil.make_archive(os.path.join(folder, "tidewatch-package"), "zip", root, "tidewatch"))
+        context._tidewatch_shipped = True
+    return spark
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -3,7 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import table
+from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.huffman import read_ids, write_ids
+from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.tokens import public_path
 
 QUERIES: dict = {}
@@ -19,3 +21,13 @@ def query(function):
 def op7_token_output(spark: SparkSession, folder: str) -> DataFrame:
     files, lengths = write_ids(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"))
     return read_ids(files, lengths)
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), public_path("word_bpe_49k.json"))
+
+
+@query
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidewatch.llm.common import table
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.huffman import read_ids, write_ids
+from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.tokens import public_path
 
@@ -31,3 +32,8 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))

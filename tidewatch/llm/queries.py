@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import table
 from tidewatch.llm.decontaminate import contamination
+from tidewatch.llm.fingerprint import fingerprint_documents
 from tidewatch.llm.huffman import read_ids, write_ids
 from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
@@ -37,3 +38,8 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprint_documents(table(spark, folder, "documents"))

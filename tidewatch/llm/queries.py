@@ -8,6 +8,7 @@ from tidewatch.llm.fingerprint import fingerprint_documents
 from tidewatch.llm.huffman import read_ids, write_ids
 from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.pages import extract_pages
 from tidewatch.llm.sharding import shard_documents
 from tidewatch.llm.tokens import public_path
 
@@ -49,3 +50,8 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_documents(table(spark, folder, "documents"))
+
+
+@query
+def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return extract_pages(table(spark, folder, "pages"))

@@ -11,6 +11,7 @@ from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.pages import extract_pages
 from tidewatch.llm.sharding import shard_documents
 from tidewatch.llm.tokens import public_path
+from tidewatch.llm.toxicity import score, train
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -55,3 +56,9 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return extract_pages(table(spark, folder, "pages"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return score(documents, train(documents, table(spark, folder, "labels")))

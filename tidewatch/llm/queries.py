@@ -6,6 +6,7 @@ from tidewatch.llm.common import table
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.fingerprint import fingerprint_documents
 from tidewatch.llm.huffman import read_ids, write_ids
+from tidewatch.llm.language import document_languages
 from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.pages import extract_pages
@@ -62,3 +63,8 @@ def op5_main_text(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return score(documents, train(documents, table(spark, folder, "labels")))
+
+
+@query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    return document_languages(table(spark, folder, "documents"))

@@ -7,6 +7,7 @@ from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.fingerprint import fingerprint_documents
 from tidewatch.llm.huffman import read_ids, write_ids
 from tidewatch.llm.language import document_languages
+from tidewatch.llm.licenses import scan, scan_sql
 from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.pages import extract_pages
@@ -68,3 +69,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     return document_languages(table(spark, folder, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
+
+
+ORACLE["op2_license_scan"] = scan_sql()

@@ -1,12 +1,57 @@
-"""The corpus pipeline: stages in order, each written as Parquet and read again by the next."""
+"""The corpus pipeline: five stages in order, each written as Parquet and read again by the next.
+
+Every stage works on all documents its predecessor kept. All but the last return the columns of
+``documents``; the last returns the packed pieces. SQL cannot state the model-based stages, so
+``ORACLE_SQL`` is None and the tests hold the stages against brute force.
+"""
 
 from tidewatch.llm.common import store, table
+from tidewatch.llm.decontaminate import clean
+from tidewatch.llm.language import keep_accepted
+from tidewatch.llm.neardup import first_of_classes
+from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.tokens import public_path
+from tidewatch.llm.toxicity import keep_clean, train
 
-STAGES = []
 ORACLE_SQL = None
 
 
+def language_id(spark, docs, sf_dir):
+    """Documents in a language that can be told."""
+    return keep_accepted(docs)
+
+
+def toxicity(spark, docs, sf_dir):
+    """Documents below the toxicity threshold."""
+    return keep_clean(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """One document of each group of near duplicates."""
+    return first_of_classes(docs)
+
+
+def decontamination(spark, docs, sf_dir):
+    """Documents without a benchmark passage."""
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing(spark, docs, sf_dir):
+    """The documents' pieces with their places in training sequences."""
+    return pack_documents(docs, public_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
+
+
 def run(spark, sf_dir):
+    """All stages over the whole ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = store(stage(spark, docs, sf_dir), name)

@@ -123,7 +123,8 @@ def judge(searched: Searched, texts: pa.Array) -> list[dict]:
         cover = np.zeros(len(words) + 1, dtype=np.int64)
         np.add.at(cover, position, 1)
         np.add.at(cover, position + searched.size[window], -1)
-        hit = np.append(0, np.cumsum(np.cumsum(cover[:-1]) > 0))
+        covered = np.cumsum(cover[:-1]) > 0
+        hit = np.append(0, np.cumsum(covered))
         item, start, size = _longest(searched, window, position)
         doc = np.searchsorted(at, start, side="right") - 1
         order = np.lexsort((item, start, -size, doc))
@@ -136,7 +137,7 @@ def judge(searched: Searched, texts: pa.Array) -> list[dict]:
                 row["items"] = {searched.names[i] for i in item[own]}
                 row |= {"longest_words": int(size[own[0]]), "longest_at": int(start[own[0]] - at[k]),
                         "longest_item": searched.names[item[own[0]]],
-                        "cover": np.cumsum(cover[at[k]:at[k + 1]]) > 0}
+                        "cover": covered[at[k]:at[k + 1]]}
             out.append(row)
     return out
 

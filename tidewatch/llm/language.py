@@ -191,7 +191,7 @@ def document_languages(documents: DataFrame) -> DataFrame:
     """``doc_id``, ``language``, ``probability`` and ``accepted`` of every document.
 
     Needs ``doc_id``, ``text``, ``lang`` and ``source``; ``lang`` is only what the text model is
-    fitted on, other columns are left out. Null, empty and letterless texts have a null language,
+    fitted on, other columns are left out. Texts without three bytes around a letter (null, empty, signs) have a null language,
     probability 0 and are not accepted. Repeated rows stay.
     """
     model = fit(documents)

@@ -80,7 +80,7 @@ def canonical_lines(text: Column) -> Column:
     own = F.regexp_replace(own, _GAPS, " ")
     for other, kept in SPELLINGS:
         own = F.replace(own, F.lit(other), F.lit(kept))
-    return F.filter(F.transform(F.split(own, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(own, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def digests(rows: DataFrame, text: str) -> DataFrame:

@@ -7,10 +7,13 @@ probability of their weighted Jaccard likeness. Processes are hierarchical: the
 into strips of doubling width, a strip gives its first point as a whole and is halved only where
 later points can still matter, so a count of c costs about log c steps.
 
-Texts that agree on all registers of a band meet in a bucket. Buckets are compared by pivots, a
-few at first and more in each round; a pair is linked if its exact multiset overlap reaches the
-threshold, and linked texts form classes. A bucket whose texts are all in one class is done, so
-copies cost one comparison each; what stays is compared to the end.
+Texts that agree on all registers of a band meet in a bucket. A pair is linked if its exact
+multiset overlap reaches the threshold, and linked texts form classes. First every text of a
+bucket is compared with one of them, which settles copies at one comparison each. A bucket whose
+texts are all in one class is done. In the others, the texts outside the bucket's largest class
+are compared with all texts of other classes by their signatures, block against block; pairs that
+can reach the threshold are verified, each in the first band they share: the few likeliest of
+each text first, and then, as classes have grown, all.
 """
 
 import hashlib
@@ -20,15 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import blocks, mix, store, utf8
+from tidewatch.llm.common import blocks, mix, setting, store, utf8
 from tidewatch.llm.words import hash_words, windows
 
 SHINGLE, LIKENESS = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
-PIVOT_GROWTH = 16
+#: Standard deviations of a signature's agreement below the threshold at which a pair is given up.
+DEVIATIONS = 5
+#: Pairs verified at first for a text and a block of others.
+LIKELIEST = 4
+BLOCK_TEXTS = 256
 _BLOCK_BYTES = 4 << 20
-_SIGNED = "doc_id long, key binary, buckets array<long>"
+_SIGNED = "doc_id long, key binary, buckets array<long>, sketch binary"
 
 
 def _uniform(state: np.ndarray) -> np.ndarray:
@@ -111,7 +118,7 @@ def signed(documents: DataFrame) -> DataFrame:
             raw = memoryview(np.ascontiguousarray(data))
             keys = [hashlib.md5(raw[a:b], usedforsecurity=False).digest()
                     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            buckets = []
+            buckets, sketches = [], []
             for low, high in blocks(bounds, _BLOCK_BYTES):
                 text, shingle, count = _bags(data[bounds[low]:bounds[high]], bounds[low:high + 1] - bounds[low])
                 times = signatures(text, shingle, count, high - low)
@@ -121,9 +128,11 @@ def signed(documents: DataFrame) -> DataFrame:
                     names = mix(names * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, k])
                 some = np.isfinite(times).all(axis=1)
                 buckets += [row if ok else None for row, ok in zip(names.view(np.int64), some, strict=True)]
+                short = (mix(times.view(np.uint64)) >> np.uint64(48)).astype("<u2")
+                sketches += [row.tobytes() for row in short]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))],
-                names=["doc_id", "key", "buckets"])
+                [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(buckets, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.binary())], names=["doc_id", "key", "buckets", "sketch"])
 
     return documents.select("doc_id", "text").mapInArrow(run, _SIGNED)
 
@@ -181,6 +190,50 @@ def components(links: DataFrame) -> DataFrame:
         seen = state
 
 
+def likely_pairs(rows: DataFrame, sketches: DataFrame, likeness: float, most: int | None) -> DataFrame:
+    """Pairs (a, b) of different classes whose signatures allow a link, from rows (bucket, band, key, root).
+
+    With ``most``, only so many for each text and block. A block has about ``BLOCK_TEXTS`` texts
+    whatever the bucket has, and a row of the join is a pair of blocks.
+    """
+    sizes = rows.groupBy("bucket", "root").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("main"))
+    blocks_of = lambda n: F.ceil(n / BLOCK_TEXTS)
+    known = rows.join(sizes.select("bucket", "n", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("m")), "bucket")
+    known = store(known.join(sketches, "key"), "sketched")
+    member = F.struct("key", "root", "sketch")
+    inner = known.filter("root <> main").groupBy("bucket", "band", F.pmod(F.xxhash64("key"), blocks_of(F.col("m"))).alias("u")).agg(
+        F.collect_list(member).alias("left"))
+    outer = known.groupBy("bucket", F.pmod(F.xxhash64("key"), blocks_of(F.col("n"))).alias("v")).agg(
+        F.collect_list(member).alias("right"))
+    least = (likeness - DEVIATIONS * (likeness * (1 - likeness) / REGISTERS) ** 0.5) * REGISTERS
+
+    def unpack(side):
+        sketch = np.frombuffer(b"".join(x["sketch"] for x in side), dtype="<u2").reshape(len(side), REGISTERS)
+        return [bytes(x["key"]) for x in side], np.array([bytes(x["root"]) for x in side], dtype=object), sketch
+
+    def run(batches):
+        for batch in batches:
+            for band, left, right in zip(*(batch.column(c).to_pylist() for c in ("band", "left", "right")), strict=True):
+                keys, roots, own = unpack(left)
+                others, classes, sketch = unpack(right)
+                a, b = [], []
+                for key, root, mine in zip(keys, roots, own, strict=True):
+                    same = sketch == mine
+                    count = same.sum(axis=1)
+                    first = same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                    at = np.flatnonzero((count >= least) & (classes != root) & (first == band))
+                    for k in at[np.argsort(-count[at], kind="stable")][:most]:
+                        a.append(min(key, others[k]))
+                        b.append(max(key, others[k]))
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    pairs = inner.join(outer, "bucket").select("band", "left", "right").mapInArrow(run, "a binary, b binary")
+    with setting(rows.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", "64"):
+        return store(pairs.distinct(), "pairs")
+
+
 def link(documents: DataFrame, likeness: float = LIKENESS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of every document, and (key, root) of every text linked to another.
 
@@ -188,36 +241,39 @@ def link(documents: DataFrame, likeness: float = LIKENESS) -> tuple[DataFrame, D
     stay; an empty table has no links.
     """
     signs = store(signed(documents), "signed")
-    first = signs.filter("buckets is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("buckets").alias("buckets"))
-    dealt = first.select("key", F.explode("buckets").alias("bucket"))
-    shared = dealt.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = store(dealt.join(shared, "bucket").select("bucket", "key"), "members")
+    first = signs.filter("buckets is not null").groupBy("key").agg(F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
+    first = store(first, "first")
+    dealt = first.select("key", F.posexplode("buckets").alias("band", "bucket"))
+    shared = dealt.groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("pivot")).filter("n > 1").select("bucket", "pivot")
+    members = store(dealt.join(shared, "bucket").select("bucket", "band", "key", "pivot"), "members")
     keys = members.select("key").distinct()
     own = documents.select("text").withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     texts = store(own.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
-    links, roots, pivots = None, None, 1
-    while True:
-        # Only buckets with texts of several classes are left; members know their class.
-        rows = members.withColumn("root", F.col("key"))
-        if roots is not None:
-            rows = members.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        open_ = rows.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("bucket")
-        rows = store(rows.join(open_, "bucket").select("bucket", "key", "root"), "open")
+    pairs = members.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    links = store(verify(pairs, texts, likeness), "links")
+    roots = components(links)
+    for most in (LIKELIEST, None):
+        rows = members.select("bucket", "band", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        split = rows.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("bucket")
+        rows = store(rows.join(split, "bucket"), "split")
         if rows.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("key", "bucket"), F.lit(pivots))
-        chosen = rows.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("key", "root")).alias("pivot"))
-        pairs = rows.join(chosen.select("bucket", "pivot"), "bucket").filter("root <> pivot.root")
-        pairs = pairs.select(F.least("key", "pivot.key").alias("a"), F.greatest("key", "pivot.key").alias("b")).distinct()
-        found = store(verify(pairs, texts, likeness), "links")
-        links = found if links is None else links.unionByName(found)
+        pairs = likely_pairs(rows, first.select("key", "sketch"), likeness, most)
+        links = links.unionByName(store(verify(pairs, texts, likeness), "links"))
         roots = components(links)
-        # A pivot has met all of its bucket and leaves it.
-        gone = chosen.select("bucket", F.col("pivot.key").alias("key"))
-        members = store(rows.join(gone, ["bucket", "key"], "left_anti").select("bucket", "key"), "members")
-        pivots *= PIVOT_GROWTH
-    empty = documents.sparkSession.createDataFrame([], "key binary, root binary")
-    return signs.select("doc_id", "key"), empty if roots is None else roots
+    return signs.select("doc_id", "key"), roots
+
+
+def _classes(documents: DataFrame, likeness: float) -> DataFrame:
+    """(doc_id, key, class_id, n_class, kept); ``kept`` marks one (doc_id, key) of each class."""
+    docs, roots = link(documents, likeness)
+    rows = docs.join(roots, "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root"))
+    rows = store(rows, "rooted")
+    chosen = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    classes = rows.groupBy("root").agg(F.min(chosen).alias("first"), F.count("*").alias("n_class"))
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("key") == F.col("first.key"))
+    return rows.join(classes, "root").select(
+        "doc_id", "key", F.col("first.doc_id").alias("class_id"), "n_class", kept.alias("kept"))
 
 
 def near_duplicates(documents: DataFrame, likeness: float = LIKENESS) -> DataFrame:
@@ -225,23 +281,22 @@ def near_duplicates(documents: DataFrame, likeness: float = LIKENESS) -> DataFra
 
     Two documents share a class if a chain of links connects their texts: equal texts, or a
     multiset overlap of five-word shingles of at least ``likeness``. Extra columns are left out.
-    ``kept`` marks the rows that have the class's id.
+    ``kept`` marks the document that has the class's id; of repeated rows of it, all.
     """
-    docs, roots = link(documents, likeness)
-    rows = docs.join(roots, "key", "left").select("doc_id", F.coalesce("root", "key").alias("root"))
-    rows = store(rows, "rooted")
-    classes = rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("n_class"))
-    return rows.join(classes, "root").select(
-        "doc_id", "class_id", "n_class", (F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
+    return _classes(documents, likeness).drop("key")
 
 
 def first_of_classes(documents: DataFrame, likeness: float = LIKENESS) -> DataFrame:
     """The documents, one of each class of near duplicates, with all their columns.
 
-    Documents without an id are kept only where no document of their class has one; of rows that
-    repeat a kept id, one stays.
+    A document without an id stays only where its class has none with one; of repeated rows, one
+    stays.
     """
-    kept = store(near_duplicates(documents, likeness).filter("kept").groupBy(F.col("doc_id").alias("_kept")).agg(
-        F.count("*").alias("_rows")), "kept")
-    out = documents.join(kept.select("_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return out if kept.filter("_rows > 1").isEmpty() else out.dropDuplicates(["doc_id"])
+    kept = _classes(documents, likeness).filter("kept").groupBy(F.col("doc_id").alias("_kept"), F.col("key").alias("_key")).agg(
+        F.count("*").alias("_rows"))
+    kept = store(kept, "kept")
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.unhex(F.md5(F.coalesce("text", F.lit("")))) == F.col("_key"))
+    out = documents.join(kept.select("_kept", "_key"), same, "left_semi")
+    if kept.filter("_rows > 1").isEmpty():
+        return out
+    return out.dropDuplicates(["doc_id", "text"])

@@ -106,9 +106,10 @@ def _pack_round(rows: DataFrame, turn: int, last: bool, capacity: int) -> DataFr
     """Pack each partition; a partition keeps its sequences where packing anew needs no fewer."""
 
     def run(batches):
-        table = pa.Table.from_batches(batches)
-        if not table.num_rows:
+        batches = list(batches)
+        if not sum(b.num_rows for b in batches):
             return
+        table = pa.Table.from_batches(batches)
         part = int(table.column("part")[0].as_py())
         lengths = table.column("length").to_numpy()
         bins, offsets = best_fit(lengths, capacity)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 #: Pages that weights are learned from, at most: those with the least hashes of their text.
 LABELLED_PAGES = 2000
+#: Scores of what no labelled page has: a word, a word of page furniture, a tag.
+WORD, FURNITURE, TAG = 2.0, -0.5, -0.25
 _CODE = "script|style|noscript|template|svg|iframe|textarea|select|object|title|math"
 _PIECE = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({_CODE})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>.*?(?:</\1\s*>|\Z)|\Z)"
@@ -123,9 +125,9 @@ def main_text(page: str, weight: dict[str, float]) -> str:
             continue  # furniture within labelled content is left out below and must not end the region
         if kind == "w":
             words = len(text.split())
-            score = words * weight.get(f"w:{setting}", -1.0 if setting.startswith("other:") else 1.0)
+            score = words * weight.get(f"w:{setting}", FURNITURE if setting.startswith("other:") else WORD)
         else:
-            score = weight.get(kind, -0.5)
+            score = weight.get(kind, TAG)
         if total <= 0:
             total, start = 0.0, k
         total += score

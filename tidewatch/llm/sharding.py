@@ -148,7 +148,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[tuple[int, str]],
         outline.open(wide)
     edges = {c + d for c in outline.level(most, shards) for d in (-1, 0)}
     outline.open({k for k in edges if 0 <= k < len(outline.cells) and outline.cells[k][2] is not None})
-    end = (1 << 63, "")
+    end = (1 << _ORDER_BITS, "")
     return [outline.cells[k][:2] if k < len(outline.cells) else end for k in outline.level(most, shards)], most
 
 

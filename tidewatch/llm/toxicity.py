@@ -115,7 +115,7 @@ class Model:
 
     def matches(self, folded: str):
         """(phrases that the match stands in, weight): its word, and its word with either neighbour."""
-        for end, (size, weight) in self.automaton().iter(folded):
+        for end, (size, weight) in self.automaton().iter(folded) if self.lexicon else ():
             start = end - size + 1
             stop = folded.index(" ", end)
             word = folded[start:stop]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions.features import as_column, normalize_score
 from tidewatch.operators.metrics import calibrate_scores
-from tidewatch.operators.prep import hash_pool, uniform
+from tidewatch.operators.prep import uniform
 from tidewatch.schemas import FOREST_NODES
 from tidewatch.session import settle
 from tidewatch.sources.writers import load_params, load_table, save_tables
@@ -72,19 +72,21 @@ def grow_forests(
     """Node table of one forest, or of several.
 
     ``forests`` gives the array of forest numbers a row may train (several when folds overlap).
-    Work after the first scan does not depend on the number of rows: a hash pool keeps a few
-    thousand rows, each tree draws a small superset of its sample from the pool, and one task per
-    tree takes the exact sample (smallest hashes) and grows the tree. Nothing depends on how the
-    input is partitioned.
+    Each tree draws from all rows: a scan keeps, for each row, the trees whose hash of it lies below
+    about three times the sample's share, and one task per tree takes the exact sample (smallest
+    hashes) and grows the tree. What leaves the scan is bounded by trees and sample size, and
+    nothing depends on how the input is partitioned.
     """
     rows = df.select(F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in cols],
                      F.explode(forests).alias("forest") if forests is not None
                      else F.lit(0).alias("forest"))
-    pool = hash_pool(rows, 32 * max_samples, "_key", seed, group="forest")
-    draws = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(num_trees - 1))))
-    draws = draws.withColumn("_u", uniform(seed, "forest", "tree", "_key"))
+    # One row per forest, so the sizes are few.
+    sizes = F.broadcast(rows.groupBy("forest").agg(F.count(F.lit(1)).alias("_n")))
     # Three times the sample on average: fewer than max_samples rows is out of reach.
-    draws = draws.where(F.col("_u") <= 3.0 * max_samples / F.col("_pool")).drop("_pool")
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(num_trees - 1)), lambda tree: uniform(
+        seed, "forest", tree, "_key") * F.col("_n") <= 3.0 * max_samples)
+    draws = rows.join(sizes, "forest").withColumn("tree", F.explode(drawn)).drop("_n")
+    draws = draws.withColumn("_u", uniform(seed, "forest", "tree", "_key"))
     return draws.groupBy("forest", "tree").applyInPandas(
         _grower(list(cols), "_key", max_samples, seed), FOREST_NODES)
 

@@ -221,10 +221,10 @@ def error_analysis(df: DataFrame, by: tuple = ()) -> DataFrame:
     return tagged.groupBy(*by).agg(*parts)
 
 
-def error_features(df: DataFrame, cols, by: tuple = (), top: int = 5, first: int = 10) -> DataFrame:
+def error_features(df: DataFrame, cols, by: tuple = (), top: int = 5, first: int | None = None) -> DataFrame:
     """The ``top`` features whose means differ most between false and true positives.
 
-    Looks at the first ten of ``cols``; (by, place, feature, mean_diff).
+    Looks at all of ``cols``, or the ``first`` ones; (by, place, feature, mean_diff).
     """
     by = list(by)
     cols = list(cols)[:first]

@@ -5,6 +5,8 @@ runs in one task. The helpers here cut the order into parts of even size instead
 parts through a small table of part totals.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,18 @@ from tidewatch.session import settle
 _POSITION_BITS = 33
 
 
+def join_on(left: DataFrame, right: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """Join on ``keys`` of the same names where null equals null, so rows without a key stay.
+
+    Keeps the left side's keys. Spark hashes such keys like any other.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    own = {k: f"_right_{k}" for k in keys}
+    renamed = right.withColumnsRenamed(own)
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(r)) for k, r in own.items()])
+    return left.join(renamed, same, how).drop(*own.values())
+
+
 def _range_parts(df: DataFrame, order: list, parts: int | None = None) -> DataFrame:
     """Range-partition by ``order``, sort, number parts and positions, and pin the result.
 
@@ -47,7 +61,7 @@ def record_index(
     )
     if by:
         first = indexed.groupBy(by).agg(F.min(name).alias("_first"))
-        indexed = indexed.join(first, by).withColumn(name, F.col(name) - F.col("_first"))
+        indexed = join_on(indexed, first, by).withColumn(name, F.col(name) - F.col("_first"))
     return indexed.drop("_part", "_pos", "_start", "_first")
 
 
@@ -75,7 +89,7 @@ def running_totals(
     inside = Window.partitionBy(*by, "_part").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return (
-        pinned.join(starts, [*by, "_part"])
+        join_on(pinned, starts, [*by, "_part"])
         .withColumns({n: F.col(f"_b_{n}") + c.over(inside) for n, c in summed.items()})
         .drop("_part", "_pos", "_one", *[f"_b_{n}" for n in summed])
     )

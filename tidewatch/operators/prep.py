@@ -179,19 +179,6 @@ def sample_rows(df: DataFrame, n: int, key: str, seed: int = SEED) -> DataFrame:
     return df.withColumn("_h", order_hash(seed, key)).orderBy("_h", key).limit(n).drop("_h")
 
 
-def hash_pool(df: DataFrame, n: int, key: str, seed: int = SEED, group: str | None = None):
-    """A bounded random pool: at least n rows (of each group) when there are that many.
-
-    The key hash is compared with a bound that lets about 2 n rows through, so a scan keeps few
-    rows and nothing else is shuffled. ``_pool`` is the expected number of rows of the pool.
-    """
-    by = [group] if group else []
-    sizes = F.broadcast(df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
-    joined = df.join(sizes, group) if group else df.crossJoin(sizes)
-    share = F.least(F.lit(1.0), F.lit(2.0 * n) / F.greatest(F.col("_n"), F.lit(1)))
-    return joined.where(uniform(seed, key) < share).withColumn("_pool", F.col("_n") * share).drop("_n")
-
-
 def uniform(*parts):
     """A number in [0, 1) from a 64-bit hash; strings are column names, numbers are constants."""
     cols = [F.col(p) if isinstance(p, str) else F.lit(p) if isinstance(p, int) else p for p in parts]

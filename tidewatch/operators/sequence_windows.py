@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.operators.ordering import chunked, own_rows
+from tidewatch.operators.ordering import chunked, join_on, own_rows
 from tidewatch.session import settle
 
 INDEX = "record_index"
@@ -273,7 +273,7 @@ def alert_cooldown(
     starts = entries.where(F.col("_exit_group").isNotNull()).select(
         *keys, "_group", "_exit_group"
     ).groupBy(*keys).applyInPandas(_fold(keys, start_schema.names), start_schema)
-    resolved = entries.join(starts, [*keys, "_group"]).select(
+    resolved = join_on(entries, starts, [*keys, "_group"]).select(
         *keys, "_place", F.col("_entry")[F.col("_start")].alias("_free"))
     empty = F.array().cast("array<int>")
     kept = F.aggregate(
@@ -285,7 +285,7 @@ def alert_cooldown(
         ).otherwise(a),
         lambda a: a["kept"],
     )
-    fired = chunks.join(resolved, [*keys, "_place"]).select(
+    fired = join_on(chunks, resolved, [*keys, "_place"]).select(
         *keys, "_place", F.explode(kept).alias("_i")
     ).select(*keys, (F.col("_place") * chunk + F.col("_i")).alias(INDEX))
-    return alerts.join(fired, [*keys, INDEX], "left_semi")
+    return join_on(alerts, fired, [*keys, INDEX], "left_semi")

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.ordering import join_on
+
 # Instants a sub-block is aimed at; blocks with fewer are not cut.
 SUB_BLOCK_INSTANTS = 100_000
 
@@ -49,7 +51,7 @@ def trailing_window(
     })
     subs = F.greatest(F.ceil(F.count(F.lit(1)) / sub_block), F.lit(1)).alias("_subs")
     sizes = placed.groupBy(*by, "_block").agg(subs)
-    both = placed.join(sizes, [*by, "_block"]).select(
+    both = join_on(placed, sizes, [*by, "_block"]).select(
         *by, "_t", "_shifted", "_block", "_subs",
         F.floor(F.col("_at") * F.col("_subs") / width).cast("long").alias("_sub"),
         *[F.when(F.col("_shifted") == 0, F.col(n)).alias(f"_p{n}") for n, _ in names],
@@ -69,11 +71,11 @@ def trailing_window(
         *[m(f"_p{n}").over(up).alias(f"_up{n}") for n, m in names],
         *[m(f"_s{n}").over(down).alias(f"_down{n}") for n, m in names],
     )
-    pieces = both.select(
+    pieces = join_on(both.select(
         *spot, "_t", "_shifted",
         *[m(f"_p{n}").over(forward).alias(f"_p{n}") for n, m in names],
         *[m(f"_s{n}").over(backward).alias(f"_s{n}") for n, m in names],
-    ).where("_shifted = 0").join(carried, spot, "left")
+    ).where("_shifted = 0"), carried, spot, "left")
 
     def total(name: str, fn: str):
         parts = [F.col(f"{p}{name}") for p in ("_p", "_s", "_up", "_down")]
@@ -91,11 +93,8 @@ def trailing_window(
             out[name] = total(inner[c, kind], kind)
     trailing = pieces.select(*by, "_t", *[c.alias(n) for n, c in out.items()])
     keep = [c for c in df.columns if c not in out]
-    return (
-        df.select(*keep).withColumn("_t", instant)
-        .join(trailing, [*by, "_t"], "left")
-        .select(*keep, *out)
-    )
+    rows = df.select(*keep).withColumn("_t", instant)
+    return join_on(rows, trailing, [*by, "_t"], "left").select(*keep, *out)
 
 
 def add_rolling_features(

@@ -1,8 +1,11 @@
 """Session defaults and durable cut points."""
 
+import atexit
+import contextlib
 import os
 import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,9 +62,43 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_scratched: list[tuple[SparkSession, str]] = []
+_own = threading.local()
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder; it is removed with its scope or when Python ends."""
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    if getattr(_own, "scopes", None):
+        _own.scopes[-1].append(path)
+    else:
+        if not _scratched:
+            atexit.register(_remove_scratched)
+        _scratched.append((spark, path))
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is there."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _remove_scratched() -> None:
+    for spark, path in _scratched:
+        with contextlib.suppress(Exception):  # the session may have stopped; then nothing can be removed
+            remove(spark, path)
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession):
+    """Cuts made inside go when the block ends; what is kept must have been written elsewhere."""
+    _own.scopes = [*getattr(_own, "scopes", []), []]
+    try:
+        yield
+    finally:
+        for path in _own.scopes.pop():
+            remove(spark, path)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 A keyed state function would give all records of a segment to one task, and one segment may
 carry a third of the traffic. Instead each micro-batch is processed by the same distributed
 operators as a table. What they need of the past is carried over as small tables in a folder
-per batch: the flows of the last window, the last records, the next index and the last fired
+per batch: the flows of the last window and the allowed lateness, the last records, the next index and the last fired
 alerts of each segment. Every folder is written once per batch id, so a repeated batch after a
 failure replaces its own output and reads the same state.
 """
@@ -15,29 +15,29 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.features import add_row_features, fill_features, predict
 from tidewatch.operators.alerts import build_alerts, ddos_message, loss_message
-from tidewatch.operators.ordering import record_index
+from tidewatch.operators.ordering import join_on, record_index
 from tidewatch.operators.profiles import breakdown, detection_summary
 from tidewatch.operators.sequence_windows import (
     alert_cooldown, ddos_spike, packet_loss_trend, rolling_score_baseline,
 )
 from tidewatch.operators.trailing import add_rolling_features
 from tidewatch.plans.train import ScaledForest
-from tidewatch.session import settle
+from tidewatch.session import remove, scope, settle
 
 HISTORY = 199
 
 
 def tail_of_time(df: DataFrame, by: str, window_s: float, ts: str = "timestamp") -> DataFrame:
-    """Rows within the last window of each segment."""
+    """Rows within the last ``window_s`` of each segment."""
     last = df.groupBy(by).agg(F.max(ts).alias("_last"))
     age = F.unix_micros("_last") - F.unix_micros(ts)
-    return df.join(last, by).where(age < int(window_s * 1_000_000)).drop("_last")
+    return join_on(df, last, by).where(age < int(window_s * 1_000_000)).drop("_last")
 
 
 def tail_of_index(df: DataFrame, by: str, n: int) -> DataFrame:
     """The last n records of each segment."""
     last = df.groupBy(by).agg(F.max("record_index").alias("_last"))
-    return df.join(last, by).where(F.col("record_index") > F.col("_last") - n).drop("_last")
+    return join_on(df, last, by).where(F.col("record_index") > F.col("_last") - n).drop("_last")
 
 
 @dataclass
@@ -48,6 +48,8 @@ class StreamDetector:
     segment: str = "segment"
     ruleset: str = "replay"
     window_s: float = 300
+    #: How much older than its segment's newest record a record may come and still get its whole window.
+    lateness_s: float = 300
     history: int = HISTORY
     cooldown: int = 30
     threshold: float | None = None
@@ -59,6 +61,13 @@ class StreamDetector:
         df.write.mode("overwrite").parquet(f"{self.out}/{name}/batch_id={batch_id}")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """Detect on one micro-batch; its cuts go with it, and so does state that no batch can ask for."""
+        with scope(batch.sparkSession):
+            self._process(batch, batch_id)
+        for name in ("state_flows", "state_index", "state_records", "state_fires"):
+            remove(batch.sparkSession, f"{self.out}/{name}/batch_id={batch_id - 2}")
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark, by, key = batch.sparkSession, self.segment, self.key
         raw = batch.columns
         fresh = settle(batch.withColumn("_new", F.lit(True)))
@@ -66,7 +75,7 @@ class StreamDetector:
         old = self._read(spark, "state_flows", batch_id - 1)
         if old is not None:
             flows = fresh.unionByName(old.withColumn("_new", F.lit(False)))
-            late_before = old.groupBy(by).agg(F.min("timestamp").alias("_oldest"))
+            late_before = old.groupBy(by).agg(F.max("timestamp").alias("_newest"))
         featured = fill_features(
             add_rolling_features(add_row_features(flows), self.window_s, by)).where("_new")
         cut = self.forest.model.threshold if self.threshold is None else self.threshold
@@ -75,7 +84,7 @@ class StreamDetector:
         indexed = record_index(scored, ["timestamp", key], by=by)
         starts = self._read(spark, "state_index", batch_id - 1)
         if starts is not None:
-            indexed = indexed.join(starts, by, "left").withColumn(
+            indexed = join_on(indexed, starts, by, "left").withColumn(
                 "record_index", F.col("record_index") + F.coalesce("_next", F.lit(0))).drop("_next")
         indexed = settle(indexed)
         self._write(indexed, "scored", batch_id)
@@ -108,7 +117,8 @@ class StreamDetector:
         counters = detection_summary(indexed).select(
             "records", "known_anomalies", "alerts_fired", "true_positives", "false_positives")
         if late_before is not None:
-            late_rows = fresh.join(late_before, by).where("timestamp < _oldest").agg(
+            behind = F.unix_micros("_newest") - F.unix_micros("timestamp")
+            late_rows = join_on(fresh, late_before, by).where(behind > int(self.lateness_s * 1_000_000)).agg(
                 F.count(F.lit(1)).alias("late_records"))
             counters = counters.crossJoin(late_rows)
         else:
@@ -116,7 +126,7 @@ class StreamDetector:
         self._write(counters, "counters", batch_id)
 
         # State for the next batch.
-        self._write(tail_of_time(flows.select(*raw, "_new"), by, self.window_s).drop("_new"),
+        self._write(tail_of_time(flows.select(*raw, "_new"), by, self.window_s + self.lateness_s).drop("_new"),
                     "state_flows", batch_id)
         self._write(tail_of_index(lines.drop("_new"), by, self.history), "state_records", batch_id)
         counts = indexed.groupBy(by).agg((F.max("record_index") + 1).alias("_next"))

@@ -85,6 +85,17 @@ REPLAY_RULES = [
     ),
 ]
 REPLAY_OTHER = ("Unknown Anomaly", "Investigate traffic source; escalate to NOC.")
+
+SPIKE_MESSAGE = (
+    "DDoS suspected: current rate %.0f pkt/s is %.1fx baseline %.0f pkt/s; "
+    "%d unique sources in last 20 records."
+)
+LOSS_MESSAGES = {
+    "CRITICAL": "Severe packet-loss trend: rate dropped %.0f%% (from %.1f to %.1f pkt/s). "
+                "Check physical layer; consider interface failover.",
+    "WARN": "Packet-loss trend detected: rate dropped %.0f%% (from %.1f to %.1f pkt/s). "
+            "Monitor interface error counters; schedule maintenance window.",
+}
 # End of fixed values.
 
 RULESETS = {"engine": (ENGINE_RULES, ENGINE_OTHER), "replay": (REPLAY_RULES, REPLAY_OTHER)}

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.features import as_column
-from tidewatch.functions.rules import anomaly_type, severity
+from tidewatch.functions.rules import LOSS_MESSAGES, SPIKE_MESSAGE, anomaly_type, severity
 from tidewatch.schemas import FLOW_FEATURES
 
 ALERT_COLUMNS = [
@@ -49,19 +49,15 @@ def ddos_message(rate="spike_rate", baseline="spike_baseline", sources="unique_s
     rate, baseline = as_column(rate), as_column(baseline)
     # bround: half-even like C formatting, where the tie is exact in binary.
     return F.format_string(
-        "DDoS suspected: current rate %.0f pkt/s is %.1fx baseline %.0f pkt/s; "
-        "%d unique sources in last 20 records.",
-        F.bround(rate, 0), rate / baseline, F.bround(baseline, 0), as_column(sources))
+        SPIKE_MESSAGE, F.bround(rate, 0), rate / baseline, F.bround(baseline, 0), as_column(sources))
 
 
 def loss_message(level="loss_level", early="loss_early", late="loss_late", drop="loss_drop") -> Column:
     numbers = (F.bround(as_column(drop) * 100, 0), as_column(early), as_column(late))
-    return F.when(as_column(level) == "CRITICAL", F.format_string(
-        "Severe packet-loss trend: rate dropped %.0f%% (from %.1f to %.1f pkt/s). "
-        "Check physical layer; consider interface failover.", *numbers,
-    )).when(as_column(level) == "WARN", F.format_string(
-        "Packet-loss trend detected: rate dropped %.0f%% (from %.1f to %.1f pkt/s). "
-        "Monitor interface error counters; schedule maintenance window.", *numbers))
+    message = F
+    for name, text in LOSS_MESSAGES.items():
+        message = message.when(as_column(level) == name, F.format_string(text, *numbers))
+    return message
 
 
 def alert_summary(alerts: DataFrame, n: int | None = None) -> DataFrame:

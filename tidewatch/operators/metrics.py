@@ -106,7 +106,7 @@ def score_ladder(df: DataFrame, by: tuple = ()) -> DataFrame:
     climbed = running_totals(
         steps, [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, by=tuple(by), index="step")
     totals = climbed.groupBy(*by).agg(F.max("tp").alias("p"), F.max("fp").alias("n"))
-    near = F.broadcast(totals)
+    near = totals if by else F.broadcast(totals)  # one row per group, or a single one
     return climbed.join(near, by) if by else climbed.crossJoin(near)
 
 

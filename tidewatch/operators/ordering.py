@@ -227,7 +227,7 @@ def exact_percentile(
         for p in probs
     ])))
     pick = F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v"))
-    near = F.broadcast(targets)
+    near = targets if by else F.broadcast(targets)  # without groups it is one row for each percentile
     joined = (
         values.join(near, by) if by else values.crossJoin(near)
     ).where(F.col("_v") <= F.col("_hi"))
@@ -242,7 +242,8 @@ def _weighted_percentile(df, c, probs, by, weight) -> DataFrame:
         F.col("_x").isNotNull() & ~F.isnan("_x")
     ).groupBy(*by, "_x").agg(F.sum(weight).alias("_c"))
     climbed = running_totals(steps, [F.col("_x")], {"_upto": "_c"}, by=tuple(by))
-    sizes = F.broadcast(climbed.groupBy(*by).agg(F.max("_upto").alias("_n")))
+    sizes = climbed.groupBy(*by).agg(F.max("_upto").alias("_n"))
+    sizes = sizes if by else F.broadcast(sizes)
     sized = climbed.join(sizes, by) if by else climbed.crossJoin(sizes)
     asked = sized.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     return _read_ranks(asked.withColumn("_at", F.col("prob") * (F.col("_n") - 1)), by)

@@ -127,7 +127,7 @@ def stratified_split(
         return df.withColumn("split", F.lit(rest))
     upto = [sum(shares[n] for n in named[: i + 1]) for i in range(len(named))]
     # One row per stratum, pinned: every pass over the split rows joins it.
-    limits = F.broadcast(settle(hash_limits(df, upto, key, strata, seed)))
+    limits = settle(hash_limits(df, upto, key, strata, seed))
     split = F
     for i, name in enumerate(named):
         split = split.when(F.col("_h") <= F.coalesce(F.col(f"_limit{i}"), F.lit("")), name)

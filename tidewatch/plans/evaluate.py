@@ -11,7 +11,7 @@ from tidewatch.operators.metrics import (
 )
 from tidewatch.operators.ordering import exact_percentile, record_index
 from tidewatch.operators.prep import (
-    SEED, apply_scaler, encode, fit_frequency_encoder, fit_scaler, scaler_params, stratified_kfold,
+    SEED, apply_scaler, encode, fit_frequency_encoder, fit_scaler, stratified_kfold,
     temporal_split,
 )
 from tidewatch.operators.sequence import SequenceModel

@@ -1,7 +1,6 @@
 """Connection and flow tables from files, in batch and as a stream."""
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.schemas import CONNECTION_SCHEMA, FLOW_SCHEMA
@@ -47,8 +46,3 @@ def read_flow_stream(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return read_as(reader, schema, path, fmt)
-
-
-def parse_timestamps(df: DataFrame, c: str = "timestamp") -> DataFrame:
-    """Text or zone-less timestamps as instants of the session time zone."""
-    return df.withColumn(c, F.col(c).cast("timestamp"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.features import add_row_features, fill_features, predict
 from tidewatch.operators.alerts import build_alerts, ddos_message, loss_message
 from tidewatch.operators.ordering import join_on, record_index
-from tidewatch.operators.profiles import breakdown, detection_summary
+from tidewatch.operators.profiles import detection_summary
 from tidewatch.operators.sequence_windows import (
     alert_cooldown, ddos_spike, packet_loss_trend, rolling_score_baseline,
 )
@@ -172,14 +172,6 @@ def stream_summary(counters: DataFrame) -> DataFrame:
     })
 
 
-def severity_breakdown(alerts: DataFrame) -> DataFrame:
-    return breakdown(alerts, "severity")
-
-
-def type_breakdown(alerts: DataFrame) -> DataFrame:
-    return breakdown(alerts, "anomaly_type")
-
-
 def write_alert_stream(alerts: DataFrame, path: str, checkpoint: str):
     """Append streaming alert rows as parquet files."""
     return alerts.writeStream.format("parquet").option("path", path).option(

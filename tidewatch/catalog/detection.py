@@ -209,7 +209,7 @@ def kfold_cv(spark, d):
 
 @query("supervised_baseline")
 def supervised_baseline(spark, d):
-    return supervised.supervised_baseline(adapters.connections(spark, d), "conn_key")
+    return supervised.supervised_baseline(adapters.connections(spark, d), "conn_key", max_depth=10, max_bins=32)
 
 
 _EVAL_SQL = _STEPS.replace(

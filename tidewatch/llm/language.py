@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import blocks, store, utf8
+from tidewatch.llm.common import blocks, least_hashes, store, utf8
 
 #: Rows of known language that the text model is fitted on, at most: those with the least hashes.
 FITTED_ROWS = 20_000
@@ -76,9 +76,9 @@ class TextModel:
 
 
 def fit(rows: DataFrame, most: int = FITTED_ROWS) -> TextModel:
-    """Fit on at most ``most`` rows of ``text`` and ``lang``; rows without either are left out."""
-    some = rows.select("text", "lang").filter("text is not null and lang is not null")
-    some = some.orderBy(F.xxhash64("text"), "lang").limit(most)
+    """Fit on at most ``most`` rows of ``doc_id``, ``text`` and ``lang``; rows without text or language are left out."""
+    known = rows.select("doc_id", "text", "lang").filter("text is not null and lang is not null")
+    some = least_hashes(known, most, "doc_id")
 
     def run(batches):
         own: dict[str, np.ndarray] = {}
@@ -92,7 +92,7 @@ def fit(rows: DataFrame, most: int = FITTED_ROWS) -> TextModel:
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(used), pa.string()), "bucket": pa.array(used), "n": pa.array(counts[used])})
 
-    counts = some.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = some.select("text", "lang").mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())
     table = np.zeros((max(len(languages), 1), BUCKETS + 1))
     for k, name in enumerate(languages):

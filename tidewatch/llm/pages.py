@@ -16,7 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pages that weights are learned from, at most: those with the least hashes of their text.
+from tidewatch.llm.common import least_hashes
+
+#: Pages that weights are learned from, at most: those with the least hashes.
 LABELLED_PAGES = 2000
 #: Scores of what no labelled page has: a word, a word of page furniture, a tag.
 WORD, FURNITURE, TAG = 2.0, -0.5, -0.25
@@ -149,7 +151,7 @@ def main_text(page: str, weight: dict[str, float]) -> str:
 
 def learn(labelled: DataFrame, most: int = LABELLED_PAGES) -> dict[str, float]:
     """Weights from at most ``most`` pages; pages without an article or main element teach nothing."""
-    some = labelled.select("html").filter("html is not null").orderBy(F.xxhash64("html"), F.length("html")).limit(most)
+    some = least_hashes(labelled.select("page_id", "html").filter("html is not null"), most, "page_id").select("html")
 
     def run(batches):
         own: Counter = Counter()

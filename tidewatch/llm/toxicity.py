@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import least_hashes
+
 #: Labelled rows that the lexicon is learned from, at most: those with the least hashes.
 LABELLED_ROWS = 20_000
 LEXICON_TERMS = 5_000
@@ -172,7 +174,7 @@ def train(documents: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) ->
     """
     known = labels.filter("doc_id is not null and toxic is not null").filter(remainder() != 1)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    some = least_hashes(known, most, "doc_id")
     rows = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("text", "toxic")
 
     def count(batches):

@@ -29,11 +29,14 @@ from tidewatch.llm.words import hash_words, windows
 SHINGLE, LIKENESS = 5, 0.8
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
+#: Registers of the longer signatures that texts of mixed buckets are compared by.
+FINE = 512
 #: Standard deviations of a signature's agreement below the threshold at which a pair is given up.
 DEVIATIONS = 5
 #: Pairs verified at first for a text and a block of others.
 LIKELIEST = 4
 BLOCK_TEXTS = 256
+BROADCAST_EDGES = 200_000
 _BLOCK_BYTES = 4 << 20
 _SIGNED = "doc_id long, key binary, buckets array<long>, sketch binary"
 
@@ -47,9 +50,9 @@ def _node(element: np.ndarray, low: np.ndarray, width: np.ndarray) -> np.ndarray
     return mix(element ^ mix(low.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + width.astype(np.uint64)))
 
 
-def signatures(doc: np.ndarray, element: np.ndarray, count: np.ndarray, docs: int) -> np.ndarray:
+def signatures(doc: np.ndarray, element: np.ndarray, count: np.ndarray, docs: int, registers: int = REGISTERS) -> np.ndarray:
     """Registers (earliest times) of ``docs`` bags given as distinct (doc, element, count)."""
-    best = np.full((docs, REGISTERS), np.inf)
+    best = np.full((docs, registers), np.inf)
     flat = best.reshape(-1)
     strips = np.ones(len(doc), dtype=np.int64)
     many = count > 1
@@ -61,10 +64,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, count: np.ndarray, docs: in
     doc, element, count = doc[which], element[which], count[which]
     state = _node(element, low, width)
     time = -np.log(_uniform(state)) / width
-    register = (mix(state) % np.uint64(REGISTERS)).astype(np.int64)
+    register = (mix(state) % np.uint64(registers)).astype(np.int64)
 
     def settle(at):
-        np.minimum.at(flat, doc[at] * REGISTERS + register[at], time[at])
+        np.minimum.at(flat, doc[at] * registers + register[at], time[at])
 
     settle(np.flatnonzero(low + width <= count))
     while len(doc):
@@ -76,7 +79,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, count: np.ndarray, docs: in
         # Units go on to their next point.
         state[one] = mix(state[one] + np.uint64(0x9E3779B97F4A7C15))
         time[one] -= np.log(_uniform(state[one]))
-        register[one] = (mix(state[one]) % np.uint64(REGISTERS)).astype(np.int64)
+        register[one] = (mix(state[one]) % np.uint64(registers)).astype(np.int64)
         wide = np.flatnonzero(~unit)
         if len(wide):
             # A wide strip's point falls to one half; the other half draws its own first point.
@@ -90,7 +93,7 @@ def signatures(doc: np.ndarray, element: np.ndarray, count: np.ndarray, docs: in
             low[wide], width[wide], state[wide] = heir, half, heir_state
             low, width, state = np.append(low, other), np.append(width, half), np.append(state, fresh)
             time = np.append(time, later)
-            register = np.append(register, (mix(fresh) % np.uint64(REGISTERS)).astype(np.int64))
+            register = np.append(register, (mix(fresh) % np.uint64(registers)).astype(np.int64))
             inside = np.flatnonzero(low < count)
             doc, element, count, low, width, state, time, register = (
                 x[inside] for x in (doc, element, count, low, width, state, time, register))
@@ -109,6 +112,26 @@ def _bags(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return text[first], shingle[first], np.diff(np.append(first, len(text)))
 
 
+def _short(times: np.ndarray) -> list[bytes]:
+    """Two bytes of each register, for estimates."""
+    return [row.tobytes() for row in (mix(times.view(np.uint64)) >> np.uint64(48)).astype("<u2")]
+
+
+def fine_sketches(texts: DataFrame) -> DataFrame:
+    """(key, fine): a longer signature of each text."""
+
+    def run(batches):
+        for batch in batches:
+            data, bounds = utf8(batch.column("text"))
+            out = []
+            for low, high in blocks(bounds, _BLOCK_BYTES):
+                bags = _bags(data[bounds[low]:bounds[high]], bounds[low:high + 1] - bounds[low])
+                out += _short(signatures(*bags, high - low, FINE))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.binary())], names=["key", "fine"])
+
+    return texts.select("key", "text").mapInArrow(run, "key binary, fine binary")
+
+
 def signed(documents: DataFrame) -> DataFrame:
     """Each document's text digest and the buckets of its bands (none without words)."""
 
@@ -128,8 +151,7 @@ def signed(documents: DataFrame) -> DataFrame:
                     names = mix(names * np.uint64(0x9E3779B97F4A7C15) + bits[:, :, k])
                 some = np.isfinite(times).all(axis=1)
                 buckets += [row if ok else None for row, ok in zip(names.view(np.int64), some, strict=True)]
-                short = (mix(times.view(np.uint64)) >> np.uint64(48)).astype("<u2")
-                sketches += [row.tobytes() for row in short]
+                sketches += _short(times)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(keys, pa.binary()), pa.array(buckets, pa.list_(pa.int64())),
                  pa.array(sketches, pa.binary())], names=["doc_id", "key", "buckets", "sketch"])
@@ -175,19 +197,21 @@ def verify(pairs: DataFrame, texts: DataFrame, likeness: float = LIKENESS) -> Da
 def components(links: DataFrame) -> DataFrame:
     """(key, root): the least key each linked key is connected to, by alternating stars."""
     edges = store(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
-    seen = None
+    seen, count = None, edges.count()
     while True:
+        # Centres are at most two for an edge; they are broadcast only while edges are few.
+        small = F.broadcast if count <= BROADCAST_EDGES else lambda x: x
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        large = store(large, "large")
+        large = both.filter("v > u").join(small(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = store(large.filter("u <> v").distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = store(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        moved = large.join(small(least), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = store(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
-        seen = state
+        seen, count = state, state[0]
 
 
 def likely_pairs(rows: DataFrame, sketches: DataFrame, likeness: float, most: int | None) -> DataFrame:
@@ -201,28 +225,31 @@ def likely_pairs(rows: DataFrame, sketches: DataFrame, likeness: float, most: in
     blocks_of = lambda n: F.ceil(n / BLOCK_TEXTS)
     known = rows.join(sizes.select("bucket", "n", F.col("main.root").alias("main"), (F.col("n") - F.col("main.n")).alias("m")), "bucket")
     known = store(known.join(sketches, "key"), "sketched")
-    member = F.struct("key", "root", "sketch")
+    member = F.struct("key", "root", "sketch", "fine")
     inner = known.filter("root <> main").groupBy("bucket", "band", F.pmod(F.xxhash64("key"), blocks_of(F.col("m"))).alias("u")).agg(
         F.collect_list(member).alias("left"))
     outer = known.groupBy("bucket", F.pmod(F.xxhash64("key"), blocks_of(F.col("n"))).alias("v")).agg(
         F.collect_list(member).alias("right"))
-    least = (likeness - DEVIATIONS * (likeness * (1 - likeness) / REGISTERS) ** 0.5) * REGISTERS
+    least = (likeness - DEVIATIONS * (likeness * (1 - likeness) / FINE) ** 0.5) * FINE
 
     def unpack(side):
         sketch = np.frombuffer(b"".join(x["sketch"] for x in side), dtype="<u2").reshape(len(side), REGISTERS)
-        return [bytes(x["key"]) for x in side], np.array([bytes(x["root"]) for x in side], dtype=object), sketch
+        fine = np.frombuffer(b"".join(x["fine"] for x in side), dtype="<u2").reshape(len(side), FINE)
+        return [bytes(x["key"]) for x in side], np.array([bytes(x["root"]) for x in side], dtype=object), sketch, fine
 
     def run(batches):
         for batch in batches:
             for band, left, right in zip(*(batch.column(c).to_pylist() for c in ("band", "left", "right")), strict=True):
-                keys, roots, own = unpack(left)
-                others, classes, sketch = unpack(right)
+                keys, roots, own, own_fine = unpack(left)
+                others, classes, sketch, fine = unpack(right)
                 a, b = [], []
-                for key, root, mine in zip(keys, roots, own, strict=True):
-                    same = sketch == mine
-                    count = same.sum(axis=1)
-                    first = same.reshape(len(others), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                    at = np.flatnonzero((count >= least) & (classes != root) & (first == band))
+                for key, root, mine, exact in zip(keys, roots, own, own_fine, strict=True):
+                    count = np.zeros(len(others), dtype=np.int64)
+                    at = np.flatnonzero(classes != root)
+                    first = (sketch[at] == mine).reshape(len(at), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                    at = at[first == band]
+                    count[at] = (fine[at] == exact).sum(axis=1)
+                    at = at[count[at] >= least]
                     for k in at[np.argsort(-count[at], kind="stable")][:most]:
                         a.append(min(key, others[k]))
                         b.append(max(key, others[k]))
@@ -249,17 +276,22 @@ def link(documents: DataFrame, likeness: float = LIKENESS) -> tuple[DataFrame, D
     keys = members.select("key").distinct()
     own = documents.select("text").withColumn("key", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
     texts = store(own.join(keys, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "texts")
-    pairs = members.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
-    links = store(verify(pairs, texts, likeness), "links")
+    tested = members.filter("key <> pivot").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    tested = store(tested, "pairs")
+    links = store(verify(tested, texts, likeness), "links")
     roots = components(links)
+    fine = None
     for most in (LIKELIEST, None):
         rows = members.select("bucket", "band", "key").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
         split = rows.groupBy("bucket").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("bucket")
         rows = store(rows.join(split, "bucket"), "split")
         if rows.isEmpty():
             break
-        pairs = likely_pairs(rows, first.select("key", "sketch"), likeness, most)
-        links = links.unionByName(store(verify(pairs, texts, likeness), "links"))
+        if fine is None:
+            fine = store(fine_sketches(texts.join(rows.select("key").distinct(), "key", "left_semi")), "fine")
+        pairs = likely_pairs(rows, first.select("key", "sketch").join(fine, "key"), likeness, most)
+        links = links.unionByName(store(verify(pairs.join(tested, ["a", "b"], "left_anti"), texts, likeness), "links"))
+        tested = tested.unionByName(pairs)
         roots = components(links)
     return signs.select("doc_id", "key"), roots
 

@@ -84,7 +84,7 @@ def test_fingerprints(spark, small, corpus):
         own, other, behind = fingerprint.fingerprints([text, changed, corpus[following]])
         r = rows[doc]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(changed.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (own.tobytes().hex(), other.tobytes().hex())
+        assert (r.fingerprint, r.edited_fingerprint) == (fingerprint.text_of(own), fingerprint.text_of(other))
         near = fingerprint.likeness(np.array([own, own]), np.array([other, behind]))
         assert np.allclose([r.near_edited, r.near_next], near)
     assert np.mean([r.near_edited for r in rows.values()]) > 0.5 > 0.2 > np.mean([r.near_next for r in rows.values()])

@@ -12,6 +12,7 @@ The fingerprint keeps for each of ``SLOTS`` bins the least of the phrase names t
 one byte. Two fingerprints agree on a bin with the probability of their phrase sets' likeness.
 """
 
+import base64
 import hashlib
 
 import numpy as np
@@ -109,6 +110,11 @@ def fingerprints(texts: list[str]) -> np.ndarray:
     return out
 
 
+def text_of(row: np.ndarray) -> str:
+    """A fingerprint as text, four letters for three bins."""
+    return base64.b64encode(row.tobytes()).decode()
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated share of common phrases, row by row; equal fingerprints give 1."""
     used = ((a != 0) | (b != 0)).sum(axis=1)
@@ -151,8 +157,8 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(docs[:-1], pa.int64()), "n_chars": pa.array([len(t) for t in texts[:-1]], pa.int64()),
                 "edited_sha256": [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                "fingerprint": [x.tobytes().hex() for x in own[:-1]],
-                "edited_fingerprint": [x.tobytes().hex() for x in other],
+                "fingerprint": [text_of(x) for x in own[:-1]],
+                "edited_fingerprint": [text_of(x) for x in other],
                 "near_edited": likeness(own[:-1], other), "near_next": likeness(own[:-1], own[1:])})
 
         for batch in batches:

@@ -22,6 +22,20 @@ def test_encoder_equals_library(path):
         assert ids[at[k]:at[k + 1]].tolist() == own.whole(text or "").tolist(), text
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_added_tokens_as_in_the_library(path):
+    from tokenizers import Tokenizer
+
+    library, draw = Tokenizer.from_file(path), random.Random(4)
+    parts = [*"aB é'\n<|>1漢", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", " next", "\u00a0"]
+    texts = ["the end <|endoftext|> next", "<|endof", "text|>", None, ""]
+    texts += ["".join(draw.choice(parts) for _ in range(draw.randint(0, 8))) for _ in range(2000)]
+    ids, at = Encoder(path).encode(pa.array(texts, pa.string()))
+    for k, text in enumerate(texts):
+        assert ids[at[k]:at[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids, text
+    assert {49407, 50256} & set(ids[at[0]:at[1]].tolist())
+
+
 def test_encoder_cache_generations(monkeypatch):
     monkeypatch.setattr("tidewatch.llm.tokens.CACHE", 5)
     monkeypatch.setattr("tidewatch.llm.tokens.BATCH_BYTES", 64)

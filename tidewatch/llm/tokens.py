@@ -5,8 +5,8 @@ The ids of a text are therefore the ids of its words in a row, and a corpus repe
 ``Encoder`` finds the words of a batch of texts with array operations, lets Arrow number the
 distinct ones, asks the tokenizers library only for words it has not seen, and puts the ids
 together again. Runs of other characters than plain letters, digits and signs go to the library
-as they stand between white space, and texts with unusual white space go there whole, so the ids
-always equal the library's. The cache is bounded: a full one becomes the old generation, from
+as they stand between white space, and texts with unusual white space or with an added token such
+as <|endoftext|> go there whole, so the ids always equal the library's. The cache is bounded: a full one becomes the old generation, from
 which words still in use move over.
 """
 
@@ -49,9 +49,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         spec = json.loads(self.tokenizer.to_str())
+        #: What the library cuts out before words; folded, as a tokenizer may look in the folded text.
+        self.added = sorted({t["content"].encode().lower() for t in spec["added_tokens"]})
         norm, pre = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
         steps = [x["type"] for x in norm.get("normalizers", [])]
         cuts = [x["type"] for x in pre.get("pretokenizers", [])]
@@ -150,6 +151,16 @@ class Encoder:
                   | ((one == 0xE2) & (two == 0x80) & ((three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF)))
                   | ((one == 0xE2) & (two == 0x81) & (three == 0x9F)) | ((one == 0xE3) & (two == 0x80))]
 
+    def _with_added(self, data: np.ndarray, bounds: np.ndarray) -> list[int]:
+        """The texts that may hold an added token; one search resumes behind each text found."""
+        folded, out = data.tobytes().lower(), []
+        for token in self.added:
+            at = folded.find(token)
+            while at >= 0:
+                out.append(int(np.searchsorted(bounds, at, side="right")) - 1)
+                at = folded.find(token, int(bounds[out[-1] + 1]))
+        return out
+
     def _block(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts ``data[bounds[k]:bounds[k + 1]]``, and how many each has."""
         counts = np.zeros(len(bounds) - 1, dtype=np.int64)
@@ -158,8 +169,9 @@ class Encoder:
         if not (self.spaced or self.lowered):
             parts = [self.whole(bytes(data[a:b]).decode()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             return np.concatenate(parts), np.array([len(x) for x in parts])
-        odd = np.unique(np.searchsorted(bounds, self._odd_spaces(data), side="right") - 1)
-        raw = {int(k): bytes(data[bounds[k]:bounds[k + 1]]).decode() for k in odd}
+        odd = np.searchsorted(bounds, self._odd_spaces(data), side="right") - 1
+        odd = np.union1d(odd, np.array(self._with_added(data, bounds), dtype=odd.dtype))
+        raw ={int(k): bytes(data[bounds[k]:bounds[k + 1]]).decode() for k in odd}
         data = data.copy()
         begin = np.zeros(len(data), dtype=bool)
         begin[bounds[:-1][bounds[:-1] < bounds[1:]]] = True

@@ -3,11 +3,14 @@
 import os
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators.forest import IsolationForest, grow_forests
-from tidewatch.operators.ordering import record_index, running_totals
+from tidewatch.operators.metrics import calibrate_scores, classification_metrics, roc_curve, score_ladder, tune_threshold
+from tidewatch.operators.ordering import exact_percentile, record_index, running_totals
+from tidewatch.operators.profiles import clipped_histogram
 from tidewatch.operators.sequence_windows import alert_cooldown
 from tidewatch.operators.trailing import trailing_window
 from tidewatch.plans.train import fit_scaled_forest
@@ -36,6 +39,32 @@ def test_index_and_totals_keep_rows_without_key(rows):
     assert len(totals) == 300
 
 
+def test_percentile_of_rows_without_key(rows):
+    for weight in (None, "w"):
+        got = exact_percentile(rows.withColumn("w", F.lit(1)), "x", [0.5, 0.9], by=("k",), weight=weight).collect()
+        assert {(r.k, r.prob) for r in got} == {(k, p) for k in (None, "a", "b") for p in (0.5, 0.9)}
+        for r in got:
+            assert r.value == pytest.approx(np.percentile([j % 7 for j in range(300) if (None, "a", "b")[j % 3] == r.k], 100 * r.prob))
+
+
+def test_curves_and_histograms_of_rows_without_key(rows):
+    scores = rows.select("id", "k", F.col("x").alias("score"), (F.col("id") % 2).alias("label"), (F.col("x") > 3).cast("int").alias("pred"))
+    alone = scores.where("k is null").drop("k")
+
+    def same(make):
+        everywhere = make(scores, ("k",))
+        assert {r.k for r in everywhere.select("k").collect()} == {None, "a", "b"}
+        want = make(alone, ())
+        got = everywhere.where("k is null").select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+    for make in (score_ladder, roc_curve, tune_threshold, classification_metrics):
+        same(make)
+    same(lambda df, by: calibrate_scores(df, "score", by=by))
+    bins = clipped_histogram(scores, "score", by="k", bins=4).groupBy("k").agg(F.sum("n").alias("n")).collect()
+    assert {r.k: r.n for r in bins} == {None: 100, "a": 100, "b": 100}
+
+
 def test_trailing_counts_rows_without_key(rows):
     got = trailing_window(rows, {"n": ("x", "count"), "s": ("x", "sum")}, 300, by=("k",), ts="t").collect()
     assert len(got) == 300

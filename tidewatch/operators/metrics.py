@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.features import error_class, normalize_score
-from tidewatch.operators.ordering import exact_percentile, running_totals
+from tidewatch.operators.ordering import exact_percentile, join_on, running_totals
 from tidewatch.schemas import TARGET_AUC, TARGET_FPR, TARGET_PRECISION, TARGET_RECALL
 
 
@@ -25,7 +25,7 @@ def calibrate_scores(df: DataFrame, raw: str = "raw", share: float = 0.95, by: t
     by = list(by)
     limits = df.groupBy(*by).agg(F.min(raw).alias("score_min"), F.max(raw).alias("score_max"))
     cut = exact_percentile(df, raw, [share], by=tuple(by)).select(*by, F.col("value").alias("_cut"))
-    joined = limits.join(cut, by) if by else limits.crossJoin(cut)
+    joined = join_on(limits, cut, by) if by else limits.crossJoin(cut)
     return joined.select(
         *by, "score_min", "score_max",
         normalize_score("_cut", "score_min", "score_max").alias("threshold"))
@@ -53,7 +53,7 @@ def classification_metrics(df: DataFrame, by: tuple = (), auc: bool = True) -> D
     if not auc:
         return out
     areas = roc_auc(df, tuple(by))
-    return out.join(areas, by) if by else out.crossJoin(areas)
+    return join_on(out, areas, by) if by else out.crossJoin(areas)
 
 
 def target_flags(metrics: DataFrame) -> DataFrame:
@@ -107,7 +107,7 @@ def score_ladder(df: DataFrame, by: tuple = ()) -> DataFrame:
         steps, [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, by=tuple(by), index="step")
     totals = climbed.groupBy(*by).agg(F.max("tp").alias("p"), F.max("fp").alias("n"))
     near = totals if by else F.broadcast(totals)  # one row per group, or a single one
-    return climbed.join(near, by) if by else climbed.crossJoin(near)
+    return join_on(climbed, near, by) if by else climbed.crossJoin(near)
 
 
 def roc_auc(df: DataFrame, by: tuple = ()) -> DataFrame:
@@ -132,7 +132,7 @@ def roc_curve(df: DataFrame, by: tuple = (), ladder: DataFrame | None = None) ->
     # The first and the last point always stay.
     bends = (
         (F.col("step") == 1) | F.col("_pos").isNull() | (F.col("pos") != F.col("_pos")) | (F.col("neg") != F.col("_neg")))
-    points = ladder.join(following, [*by, "step"], "left").where(bends).select(
+    points = join_on(ladder, following, [*by, "step"], "left").where(bends).select(
         *by,
         (F.col("fp") / _one(F.col("n"))).alias("fpr"),
         (F.col("tp") / _one(F.col("p"))).alias("tpr"),
@@ -189,7 +189,7 @@ def tune_threshold(
     last = F.max(F.when(F.col("fpr") <= max_fpr, F.struct(
         (-F.col("threshold")).alias("down"), F.col("fpr"), F.col("tpr").alias("recall"))))
     fall = roc_curve(df, tuple(by), ladder).groupBy(*by).agg(last.alias("_fall"))
-    both = main.join(fall, by) if by else main.crossJoin(fall)
+    both = join_on(main, fall, by) if by else main.crossJoin(fall)
     return both.select(
         *by,
         (-F.coalesce("_main.down", "_fall.down")).alias("threshold"),

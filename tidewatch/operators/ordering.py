@@ -229,7 +229,7 @@ def exact_percentile(
     pick = F.when(F.col("_v") < F.col("_lo"), F.lit(None)).otherwise(F.col("_v"))
     near = targets if by else F.broadcast(targets)  # without groups it is one row for each percentile
     joined = (
-        values.join(near, by) if by else values.crossJoin(near)
+        join_on(values, near, by) if by else values.crossJoin(near)
     ).where(F.col("_v") <= F.col("_hi"))
     steps = joined.groupBy(*by, "prob", "_at", pick.alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
     climbed = running_totals(steps, [F.col("_x").asc_nulls_first()], {"_upto": "_c"},
@@ -244,7 +244,7 @@ def _weighted_percentile(df, c, probs, by, weight) -> DataFrame:
     climbed = running_totals(steps, [F.col("_x")], {"_upto": "_c"}, by=tuple(by))
     sizes = climbed.groupBy(*by).agg(F.max("_upto").alias("_n"))
     sizes = sizes if by else F.broadcast(sizes)
-    sized = climbed.join(sizes, by) if by else climbed.crossJoin(sizes)
+    sized = join_on(climbed, sizes, by) if by else climbed.crossJoin(sizes)
     asked = sized.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     return _read_ranks(asked.withColumn("_at", F.col("prob") * (F.col("_n") - 1)), by)
 

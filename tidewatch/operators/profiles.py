@@ -5,7 +5,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.operators.ordering import exact_percentile
+from tidewatch.operators.ordering import exact_percentile, join_on
 
 LATENCY_TARGET_MS = 100.0
 THROUGHPUT_TARGET = 10_000
@@ -85,7 +85,7 @@ def clipped_histogram(
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.least(F.floor((F.col(c) - F.col("_lo")) / width), F.lit(bins - 1))
     slot = F.when(width > 0, place).otherwise(bins // 2).cast("int")
-    return values.join(ranges, by).groupBy(by, slot.alias("bin")).agg(
+    return join_on(values, ranges, by).groupBy(by, slot.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"))
 
 

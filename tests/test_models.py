@@ -138,6 +138,20 @@ def test_knn_equals_brute_force_with_ties(spark):
         assert list(part.neighbour) == [j for _, j in want] and np.allclose(part.dist, [v for v, _ in want])
 
 
+@pytest.mark.parametrize("far, spread", [(1e8, 1.0), (1e12, 1.0), (0.0, 1e-7)])
+def test_knn_far_from_the_origin_and_among_rough_ties(spark, far, spread):
+    rng = np.random.default_rng(8)
+    x = far + spread * rng.normal(size=(600, 8))
+    if not far:  # one vector far away and many that a rough distance cannot tell apart
+        x[0] = 1e3
+    got = knn_join(vector_rows(spark, x[:50]), vector_rows(spark, x), 5, "id", "id", pivots=9, tile=300).toPandas()
+    d = np.sqrt(((x[:50, None] - x[None]) ** 2).sum(2))
+    assert len(got) == 250
+    for i, part in got.sort_values("place").groupby("id"):
+        want = sorted(zip(d[i], range(600)))[:5]
+        assert list(part.neighbour) == [j for _, j in want] and list(part.dist) == [v for v, _ in want]
+
+
 def test_lof_few_rows(spark):
     model = LocalOutlierFactor(k=20).fit(vector_rows(spark, np.array([[0.0], [1.0], [3.0]])), "id")
     assert model.k == 2

@@ -303,6 +303,19 @@ def test_licenses_match_sql(spark, small, odd, none):
     assert licenses.scan(odd).count() == len(ODD) and licenses.scan(none).count() == 0
 
 
+def test_every_known_license_text_is_found(spark):
+    kept = licenses.KNOWN
+    documents = spark.createDataFrame([(k, "Copyright (c) 2021 Some One\n\n" + t) for k, (_, t) in enumerate(kept)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(documents).collect()}
+    assert [got[k].whole_license for k in range(len(kept))] == [name for name, _ in kept]
+    assert {"BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Apache-2.0",
+            "Unlicense", "CC0-1.0", "Zlib", "BSL-1.0"} <= {n for n, t in kept if len(t) > 500}
+    db, frame = duckdb.connect(), documents.toPandas()  # noqa: F841
+    db.execute("CREATE TABLE documents AS SELECT * FROM frame")
+    want = sorted(map(str, db.execute(f"SELECT doc_id, whole_license, licenses, n_notices FROM ({licenses.scan_sql()})").fetchall()))
+    assert sorted(str(tuple(r)) for r in got.values()) == want
+
+
 def test_license_canonical_form(spark):
     shouted = "MIT Licence\r\n(C) 2020 Somebody\n\n" + licenses._MIT.replace('"', "''").upper()
     rows = [(1, shouted), (2, "Released under the MIT Licence!\nReleased under  the mit license"), (3, "not released under the MIT License.")]

@@ -6,6 +6,8 @@ looked up among the digests of known licence texts and notices by a hash join. O
 and whole lines match; a licence name within a sentence does not.
 """
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,88 @@ Unless required by applicable law or agreed to in writing, software distributed
 "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific
 language governing permissions and limitations under the License."""
 
+_BSD_GRANT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided
+that the following conditions are met:"""
+_BSD_TERMS = ["""Redistributions of source code must retain the above copyright notice, this list of conditions and the
+following disclaimer.""", """Redistributions in binary form must reproduce the above copyright notice, this list of
+conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+              """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission."""]
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS
+OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY,
+WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If
+you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not
+required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""
+_BOOST = """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
+is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works
+of the Software, unless such copies or derivative works are solely in the form of machine-executable object code
+generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE
+COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT,
+TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was
+not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _bsd(clauses: int) -> list[str]:
+    """The text with numbers or bullets, with or without its title and the reserved rights."""
+    heads = [t + r for t in ("", f"BSD {clauses}-Clause License\n\n", f"The {clauses}-Clause BSD License\n\n")
+             for r in ("", "All rights reserved.\n\n")]
+    marks = [[f"{k + 1}. " for k in range(clauses)], ["* "] * clauses]
+    return [head + "\n\n".join([_BSD_GRANT, *(m + t for m, t in zip(mark, _BSD_TERMS, strict=False)), _BSD_END])
+            for head in heads for mark in marks]
+
+
+def _gnu_header(kind: str, version: str, thing: str, exact: bool) -> str:
+    """The notice that the GNU licences ask to put at the top of each file."""
+    terms = f"version {version} of the License"
+    terms = f"{terms}." if exact else f"either {terms}, or (at your option) any later version."
+    return f"""This {thing} is free software{":" if version[0] == "3" else ";"} you can redistribute it and/or modify it
+under the terms of the {kind} as published by the Free Software Foundation, {terms}
+
+This {thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {kind} for more details.
+
+You should have received a copy of the {kind} along with this {thing}. If not, see <https://www.gnu.org/licenses/>."""
+
+
+def _full_texts() -> list[tuple[str, str]]:
+    """The files of ``license_texts``: named by licence and edition; with and without what follows the terms."""
+    out = []
+    for file in sorted(resources.files("tidewatch.llm").joinpath("license_texts").iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        name = name.removesuffix(".spdx").removesuffix(".regents")
+        out.append((name, text))
+        if _TERMS_END in text:
+            out.append((name, text[:text.index(_TERMS_END) + len(_TERMS_END)]))
+            out.append((name, text[:text.index(_TERMS_END)]))
+    return out
+
+
 #: Known licences with their public texts and one-line notices.
 KNOWN = [
     ("MIT", _MIT), ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License (MIT)\n\n" + _MIT),
@@ -68,7 +152,22 @@ KNOWN = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."), ("CC-BY-4.0", "This work is licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."), ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("Zlib", _ZLIB), ("Zlib", "zlib License\n\n" + _ZLIB), ("BSL-1.0", _BOOST), ("MPL-2.0", _MPL),
 ]
+KNOWN += [(f"BSD-{k}-Clause", text) for k in (2, 3) for text in _bsd(k)]
+KNOWN += [
+    (f"{short}-{version}", _gnu_header(kind, version[0] if version.endswith(".0") else version, thing, exact))
+    for short, kind, versions in (("GPL", "GNU General Public License", ("2.0", "3.0")),
+                                  ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+                                  ("AGPL", "GNU Affero General Public License", ("3.0",)))
+    for version in versions for thing in ("program", "library") for exact in (False, True)]
+KNOWN += _full_texts()
+KNOWN += [(name, f"SPDX-License-Identifier: {name}") for name in (
+    "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "MPL-1.1", "MPL-2.0",
+    "OFL-1.1", "Unicode-3.0", "Unlicense", "Zlib")]
+KNOWN += [(name, f"SPDX-License-Identifier: {name}{end}") for name in (
+    "AGPL-3.0", "GFDL-1.2", "GFDL-1.3", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0")
+    for end in ("", "-only", "-or-later")]
 
 _COPYRIGHT = r"^[ \t]*(?:copyright\b|\(c\)|©)[^\n]*"
 _GAPS = r"[^\p{L}\p{N}\n]+"

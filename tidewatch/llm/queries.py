@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm.common import table
+from tidewatch.llm.counts import token_counts
 from tidewatch.llm.decontaminate import contamination
 from tidewatch.llm.fingerprint import fingerprint_documents
 from tidewatch.llm.huffman import read_ids, write_ids
@@ -77,3 +78,8 @@ def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op2_license_scan"] = scan_sql()
+
+
+@query
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), public_path("piece_bpe_32k.model"))

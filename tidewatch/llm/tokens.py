@@ -45,14 +45,15 @@ def _byte_letters() -> list[str]:
 class Encoder:
     """``encode(texts)``: ids of an Arrow array of texts and where each text's ids begin."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain  # their strings are then text like any other
         self.model = self.tokenizer.model
         spec = json.loads(self.tokenizer.to_str())
         #: What the library cuts out before words; folded, as a tokenizer may look in the folded text.
-        self.added = sorted({t["content"].encode().lower() for t in spec["added_tokens"]})
+        self.added = [] if plain else sorted({t["content"].encode().lower() for t in spec["added_tokens"]})
         norm, pre = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
         steps = [x["type"] for x in norm.get("normalizers", [])]
         cuts = [x["type"] for x in pre.get("pretokenizers", [])]
@@ -214,9 +215,21 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder per process and tokenizer."""
-    return Encoder(path)
+def encoder(path: str, plain: bool = False) -> Encoder:
+    """One encoder per process and tokenizer; a ``plain`` one takes special tokens' strings for text."""
+    return Encoder(path, plain)
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """What each entry of a byte-level tokenizer stands for, by id."""
+    from tokenizers import Tokenizer
+
+    back = {letter: byte for byte, letter in enumerate(_byte_letters())}
+    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
+    out = [b""] * (max(vocabulary.values()) + 1)
+    for entry, k in vocabulary.items():
+        out[k] = bytes(back[c] for c in entry) if all(c in back for c in entry) else entry.encode()
+    return out
 
 
 def public_path(name: str) -> str:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.llm.alignment import align
 from tidewatch.llm.common import table
 from tidewatch.llm.counts import token_counts
 from tidewatch.llm.decontaminate import contamination
@@ -83,3 +84,8 @@ ORACLE["op2_license_scan"] = scan_sql()
 @query
 def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(table(spark, folder, "documents"), public_path("piece_bpe_32k.model"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"), public_path("piece_bpe_32k.model"))

@@ -14,6 +14,7 @@ from tidewatch.llm.neardup import near_duplicates
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.pages import extract_pages
 from tidewatch.llm.sharding import shard_documents
+from tidewatch.llm.spelling import spelling_variants
 from tidewatch.llm.tokens import public_path
 from tidewatch.llm.toxicity import score, train
 
@@ -89,3 +90,8 @@ def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return align(table(spark, folder, "documents"), public_path("byte_bpe_50k.json"), public_path("piece_bpe_32k.model"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))

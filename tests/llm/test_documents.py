@@ -321,3 +321,18 @@ def test_license_canonical_form(spark):
     rows = [(1, shouted), (2, "Released under the MIT Licence!\nReleased under  the mit license"), (3, "not released under the MIT License.")]
     got = {r.doc_id: (r.whole_license, r.licenses, r.n_notices) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: ("MIT", "", 0), 2: (None, "MIT", 2), 3: (None, "", 0)}
+
+
+def test_least_hashes_keeps_texts_where_they_are(spark):
+    """The sample is that of a sort by hash, and no text passes through the sort."""
+    from pyspark.sql import functions as F
+
+    from tidewatch.llm.common import least_hashes
+
+    rows = spark.range(2_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("text "), 10).alias("text"))
+    got = least_hashes(rows, 150, "doc_id")
+    want = rows.orderBy(F.xxhash64("doc_id")).limit(150)
+    assert {r.doc_id for r in got.collect()} == {r.doc_id for r in want.collect()}
+    assert "TakeOrdered" not in got._jdf.queryExecution().toString()
+    assert least_hashes(rows, 5_000, "doc_id").count() == 2_000
+    assert least_hashes(rows.limit(0), 10, "doc_id").count() == 0

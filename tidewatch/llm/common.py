@@ -82,14 +82,17 @@ def in_order(df: DataFrame, key: str, ties: list[str], parts: int | None = None,
 
 
 def least_hashes(rows: DataFrame, most: int, key: str) -> DataFrame:
-    """The ``most`` rows with the least hashes of ``key``, or all where there are fewer.
+    """The rows of the ``most`` least hashes of ``key``, or all where there are fewer; equal hashes go together.
 
-    A hash limit lets about twice as many rows through, so the order that picks them sees no more,
-    however large the table is.
+    The last of these hashes is found among keys alone, eight bytes a row; the rows themselves are filtered by it
+    where they lie, so no text is sorted or moved, however long it is.
     """
     spot, count = F.xxhash64(key), rows.count()
-    limit = int(-(2**63) + 2**64 * min(1.0, 2 * most / max(count, 1))) - 1
-    return rows.filter(spot <= limit).orderBy(spot, key).limit(most)
+    if count <= most:
+        return rows
+    limit = int(-(2**63) + 2**64 * min(1.0, 2 * most / count)) - 1
+    least = rows.select(spot.alias("h")).filter(F.col("h") <= limit).orderBy("h").limit(most)
+    return rows.filter(spot <= least.agg(F.max("h")).first()[0])
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

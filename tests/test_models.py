@@ -1,16 +1,19 @@
+import itertools
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators.forest import IsolationForest, IsolationForestModel
-from tidewatch.operators.importance import feature_importance
+from tidewatch.operators.forest import IsolationForest, IsolationForestModel, mean_path
+from tidewatch.operators.importance import feature_importance, permutation_importance, tree_attributions
 from tidewatch.operators.neighbours import LocalOutlierFactor, LofModel, knn_join
 from tidewatch.operators.prep import apply_scaler
 from tidewatch.operators.sequence import SequenceModel, SequenceReconstruction
 from tidewatch.plans.train import ScaledForest, fit_scaled_forest, stream_forest
 from tidewatch.schemas import FLOW_FEATURES
-from tidewatch.session import scratch
+from tidewatch.session import scratch, settle
 
 SMALL_FOREST = IsolationForest(num_trees=20)
 
@@ -84,10 +87,55 @@ def test_path_lengths_of_a_hand_made_tree(spark):
 
 def test_importance_ranks_features(forest, mixed):
     scaled = apply_scaler(mixed, forest.scaler)
-    rows = feature_importance(forest.model, scaled, "event_id", n=100).collect()
-    assert len(rows) == 17 and [r.place for r in rows] == list(range(1, 18))
-    effects = [r.effect for r in rows]
-    assert effects == sorted(effects, reverse=True) and effects[0] > 0
+    for measure in (feature_importance, permutation_importance):
+        rows = measure(forest.model, scaled, "event_id", n=100).collect()
+        assert len(rows) == 17 and [r.place for r in rows] == list(range(1, 18))
+        effects = [r.effect for r in rows]
+        assert effects == sorted(effects, reverse=True) and effects[0] > 0
+
+
+def known_value(nodes, slot, row, known, trees, norm):
+    """Expected value of a tree when only the features ``known`` are seen."""
+    node = nodes.loc[slot]
+    if node.feature < 0:
+        return -node.path / norm / trees
+    left, right = 2 * slot + 1, 2 * slot + 2
+    if node.feature in known:
+        return known_value(nodes, right if row[int(node.feature)] > node.cut else left, row, known, trees, norm)
+    parts = [nodes.loc[s].rows / node.rows * known_value(nodes, s, row, known, trees, norm) for s in (left, right)]
+    return sum(parts)
+
+
+def test_attributions_equal_enumeration_of_all_subsets(spark):
+    """Six features: every subset of the others, weighted as Shapley's value says."""
+    rng = np.random.default_rng(12)
+    pdf = pd.DataFrame(rng.normal(size=(300, 6)) * [1, 2, 1, 5, 1, 1], columns=list("abcdef"))
+    pdf.insert(0, "id", range(300))
+    df = spark.createDataFrame(pdf)
+    model = IsolationForest(num_trees=5, max_samples=64).fit(df, list("abcdef"), "id")
+    x = np.vstack([pdf[list("abcdef")].to_numpy()[:6], [[9.0] * 6, [np.nan, 0, 0, np.nan, 1, 1]]])
+    asked = spark.createDataFrame([(k, *map(float, r)) for k, r in enumerate(x)], "id long, " + ", ".join(f"{c} double" for c in "abcdef"))
+    got = tree_attributions(model, asked, "id").orderBy("id").collect()
+    norm = float(mean_path(64))
+    trees = [t.set_index("slot") for _, t in model.nodes.groupby("tree")]
+    for row, r in zip(x, got):
+        value = {s: sum(known_value(t, 0, row, s, 5, norm) for t in trees)
+                 for n in range(7) for s in map(frozenset, itertools.combinations(range(6), n))}
+        for f in range(6):
+            want = sum(math.factorial(len(s)) * math.factorial(5 - len(s)) / math.factorial(6) * (value[s | {f}] - value[s])
+                       for s in value if f not in s)
+            assert np.isclose(r.attributions[f], want, atol=1e-12)
+        assert np.isclose(r.base, value[frozenset()])
+    raw = {r.id: r.raw for r in asked.select("id", model.raw_score().alias("raw")).collect()}
+    assert np.allclose([2 ** (r.base + sum(r.attributions)) for r in got], [raw[r.id] for r in got])
+
+
+def test_attributions_find_what_makes_a_row_strange(spark, mixed, forest):
+    scaled = apply_scaler(mixed, forest.scaler)
+    rows = tree_attributions(forest.model, scaled, "event_id").join(mixed.select("event_id", "label"), "event_id").toPandas()
+    assert len(rows) == 330
+    moved = rows.attributions.map(sum)
+    assert moved[rows.label == 1].min() > moved[rows.label == 0].median()
 
 
 def brute_lof(x, q, k):
@@ -178,3 +226,49 @@ def test_sequence_model(spark, mixed):
     assert np.allclose(SequenceModel.load(spark, path).directions, model.directions)
     with pytest.raises(ValueError):
         SequenceReconstruction().fit(df.where("record_index < 10"), ["a", "b"])
+
+
+def test_missing_and_odd_vectors_neither_crash_nor_vanish(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(60, 3)))]
+    odd = [(100, None), (101, [1.0, None, 2.0]), (102, [float("nan")] * 3), (103, [1.0, 2.0]), (104, [])]
+    df = spark.createDataFrame(rows + odd, "id long, features array<double>")
+    found = knn_join(df, df.where("id <> 103"), 4, "id", "id").toPandas()
+    assert set(found[found.neighbour.isna()].id) == {100, 101, 102, 103, 104} and len(found) == 60 * 4 + 5
+    assert found.neighbour.max() < 100
+    model = LocalOutlierFactor(k=5).fit(df.where("id <> 103"), "id")
+    scored = model.predict(model.score(df, "id"), "id").toPandas().set_index("id")
+    assert len(scored) == 65 and scored.loc[[100, 101, 102, 103, 104]].raw.isna().all()
+    assert scored.loc[:59].raw.notna().all() and scored.loc[:59].is_anomaly.notna().all()
+
+
+def test_a_loaded_model_scores_in_batches_as_the_fitted_one(spark):
+    """Nothing is built anew: two batches give what all rows at once give."""
+    rng = np.random.default_rng(7)
+    x = np.concatenate([rng.normal(size=(400, 4)) + 6 * k for k in range(3)])
+    model = LocalOutlierFactor(k=6, pivots=30, tile=40).fit(vector_rows(spark, x), "id")
+    path = scratch(spark, "lof")
+    model.save(path)
+    again, asked = LofModel.load(spark, path), vector_rows(spark, x + 0.1)
+    want = model.score(asked, "id").toPandas().set_index("id").raw
+    got = pd.concat([again.score(asked.where(f"id % 2 = {r}"), "id").toPandas() for r in (0, 1)]).set_index("id").raw
+    assert np.allclose(got.sort_index(), want.sort_index())
+
+
+def test_neighbour_search_sends_less_than_all_pairs(spark):
+    """Each query visits about as many tiles however many there are: eight times the rows, far from 64 times the work."""
+    from tidewatch.operators.neighbours import CellIndex, distinct_vectors
+
+    def sent(n):
+        rng = np.random.default_rng(9)
+        x = rng.normal(size=(n // 100, 2)).repeat(100, 0) * 100 + rng.normal(size=(n, 2))
+        rows = settle(distinct_vectors(vector_rows(spark, x), "id"))
+        index = CellIndex.build(rows, 5, None, 64)
+        first = settle(index.first_tiles(rows))
+        near = settle(index._nearest(index._meet(first, 4096)))
+        bounds = near.groupBy("q").agg(F.max("dist").alias("bound"))
+        done = first.groupBy("q").agg(F.first("vector").alias("vector"), F.collect_list("tile").alias("done"))
+        return first.count() + index.other_tiles(done.join(bounds, "q")).count()
+
+    few, many = sent(2_000), sent(16_000)
+    assert many < 2.5 * 8 * few

@@ -5,6 +5,7 @@ from collections import defaultdict
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tests.llm.conftest import ODD, bag, words
 from tidewatch.llm import decontaminate, fingerprint, language, licenses, neardup, queries, sharding, toxicity
@@ -336,3 +337,35 @@ def test_least_hashes_keeps_texts_where_they_are(spark):
     assert "TakeOrdered" not in got._jdf.queryExecution().toString()
     assert least_hashes(rows, 5_000, "doc_id").count() == 2_000
     assert least_hashes(rows.limit(0), 10, "doc_id").count() == 0
+
+
+@pytest.mark.parametrize("most", [7, 500_000])
+def test_components_equal_a_walk_over_the_links(spark, monkeypatch, most):
+    """Chains, stars, rings and copies of links, over several tasks and both ways of joining."""
+    import random
+
+    from tidewatch.llm import neardup
+
+    monkeypatch.setattr(neardup, "FOREST_EDGES", most)
+    rng = random.Random(3)
+    keys = [rng.randbytes(16) for _ in range(120)]
+    links = [(keys[k], keys[k + 1]) for k in range(30)] + [(keys[40], keys[k]) for k in range(41, 60)] + [(keys[59], keys[41])] * 3
+    links += [(rng.choice(keys[60:]), rng.choice(keys[60:])) for _ in range(40)]
+    near = {k: {k} for k in keys}
+    for a, b in links:
+        near[a].add(b)
+        near[b].add(a)
+
+    def reached(key):
+        seen, todo = set(), [key]
+        while todo:
+            one = todo.pop()
+            if one not in seen:
+                seen.add(one)
+                todo += near[one]
+        return seen
+
+    want = {k: min(reached(k)) for k in keys if min(reached(k)) != k}
+    table = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in links], "a binary, b binary").repartition(5)
+    assert {bytes(r.key): bytes(r.root) for r in neardup.components(table).collect()} == want
+    assert neardup.components(table.limit(0)).count() == 0

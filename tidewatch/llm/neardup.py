@@ -20,6 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +38,8 @@ DEVIATIONS = 5
 LIKELIEST = 4
 BLOCK_TEXTS = 256
 BROADCAST_EDGES = 200_000
+#: Edges that one task joins into components at a time: 32 bytes each, and about as much again to work with.
+FOREST_EDGES = 500_000
 _BLOCK_BYTES = 4 << 20
 _SIGNED = "doc_id long, key binary, buckets array<long>, sketch binary"
 
@@ -194,11 +197,62 @@ def verify(pairs: DataFrame, texts: DataFrame, likeness: float = LIKENESS) -> Da
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
+def least_members(u: pa.Array, v: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Each key of the edges (u, v) that is not the least of its component, and that least key."""
+    both = pa.concat_arrays([u, v]).dictionary_encode()
+    order = pc.array_sort_indices(both.dictionary).to_numpy()
+    rank = np.empty(len(order), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    ends = rank[both.indices.to_numpy()]
+    a, b = ends[:len(u)], ends[len(u):]
+    root = np.arange(len(order))
+    while True:  # hook roots to lesser ones, then let all point to their root
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low < high
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while (root[root] != root).any():
+            root = root[root]
+    moved = np.flatnonzero(root != np.arange(len(root)))
+    return both.dictionary.take(pa.array(order[moved])), both.dictionary.take(pa.array(order[root[moved]]))
+
+
+def _forests(edges: DataFrame) -> DataFrame:
+    """The edges of every task as a star around each least key: fewer, with the same components.
+
+    A task takes ``FOREST_EDGES`` at a time, so its memory does not follow its input.
+    """
+
+    def run(batches):
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += batch.num_rows
+            if count >= FOREST_EDGES:
+                yield star(held)
+                held, count = [], 0
+        if count:
+            yield star(held)
+
+    def star(held):
+        table = pa.Table.from_batches(held).combine_chunks()
+        return pa.RecordBatch.from_arrays(list(least_members(*(table.column(c).chunk(0) for c in "uv"))), names=["u", "v"])
+
+    return edges.select("u", "v").mapInArrow(run, "u binary, v binary")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(key, root): the least key each linked key is connected to, by alternating stars."""
-    edges = store(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    """(key, root): the least key each linked key is connected to.
+
+    Every task first reduces its own links to stars. While more than ``FOREST_EDGES`` are left, alternating
+    stars over all of them go on; so many and fewer are joined by one task, whose input is thereby bounded.
+    """
+    ends = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+    edges = store(_forests(ends), "edges")
     seen, count = None, edges.count()
-    while True:
+    while count > FOREST_EDGES:
         # Centres are at most two for an edge; they are broadcast only while edges are few.
         small = F.broadcast if count <= BROADCAST_EDGES else lambda x: x
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -212,6 +266,7 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen:
             return edges.select(F.col("u").alias("key"), F.col("v").alias("root"))
         seen, count = state, state[0]
+    return store(_forests(edges.coalesce(1)), "roots").select(F.col("u").alias("key"), F.col("v").alias("root"))
 
 
 def likely_pairs(rows: DataFrame, sketches: DataFrame, likeness: float, most: int | None) -> DataFrame:

@@ -33,7 +33,8 @@ CONTAINER_DOCS, CONTAINER_BYTES = 16_384, 16 << 20
 #: Containers whose rows of one pair may meet in one task.
 SPAN = 1_024
 _BLOCK_BYTES = 2 << 20
-_ID_BITS = 17
+#: Bits of an A id and of a document's place in its container.
+_ID_BITS, _DOC_BITS = 17, 15
 _ROWS = ("container long, place int, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string,"
          " pair long, size int, docs long, links long, planes binary")
 _DOC = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
@@ -142,25 +143,25 @@ class Aligned:
         return [hashlib.sha256(raw[x:y]).hexdigest() if x < y else ""
                 for x, y in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)]
 
-    def postings(self, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(pair, document, links), distinct; documents are numbered from ``base``."""
+    def postings(self, base: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (pair, document), as one number, and their links; documents are numbered from ``base``."""
         doc = np.repeat(np.arange(self.docs, dtype=np.int64), self.links) + base
-        key = ((self.link_b << _ID_BITS | self.link_a) << 15) | doc
-        key, count = np.unique(key, return_counts=True)
-        return key >> 15, (key & 0x7FFF).astype(np.uint16), count.astype(np.int64)
+        key, count = np.unique(((self.link_b << _ID_BITS | self.link_a) << _DOC_BITS) | doc, return_counts=True)
+        return key, count.astype(np.int32)
 
 
-def bitmaps(pair: np.ndarray, doc: np.ndarray, count: np.ndarray, docs: int):
+def bitmaps(key: np.ndarray, count: np.ndarray, docs: int):
     """(pair, documents, links, planes) of each pair of a container from its distinct (pair, document) postings.
 
     ``planes`` is a row of 16-bit words: the number of planes, the documents in each, then the
     planes. A plane has the places of its documents in ascending order or, where that is not longer, ``docs`` bits.
     """
-    order = np.lexsort((doc, pair))
-    pair, doc, count = pair[order], doc[order], count[order]
+    order = np.argsort(key, kind="stable")  # sorted runs, one a block
+    key, count = key[order], count[order]
+    pair, doc = key >> _DOC_BITS, (key & ((1 << _DOC_BITS) - 1)).astype(np.uint16)
     first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
     which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(pair))))
-    documents, links = np.bincount(which, minlength=len(first)), np.add.reduceat(count, first)
+    documents, links = np.bincount(which, minlength=len(first)), np.add.reduceat(count, first, dtype=np.int64)
     depth = np.frexp(np.maximum.reduceat(count, first).astype(np.float64))[1].astype(np.int64)
     plane_at = np.cumsum(depth) - depth
     parts = []
@@ -226,7 +227,7 @@ def containers(documents: DataFrame, first: str, second: str) -> DataFrame:
 
         def close():
             name = part << 24 | number
-            some = [np.concatenate(x) for x in zip(*held, strict=True)] if held else [np.empty(0, np.int64)] * 3
+            some = [np.concatenate(x) for x in zip(*held, strict=True)]
             if len(some[0]):
                 pair, documents, links, flat, ends = bitmaps(*some, docs)
                 for low in range(0, len(pair), 20_000):
@@ -238,7 +239,7 @@ def containers(documents: DataFrame, first: str, second: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(n, name)), pa.nulls(n, pa.int32()), *(pa.nulls(n, pa.int64()) for _ in range(5)),
                          pa.nulls(n, pa.string()), pa.array(pair[low:high]), pa.array(np.full(n, docs, dtype=np.int32)), pa.array(documents[low:high].astype(np.int64)),
-                         pa.array(links[low:high]), planes], schema=_SCHEMA)
+                         pa.array(links[low:high].astype(np.int64)), planes], schema=_SCHEMA)
             for ids, base, aligned, digests in rows:
                 n = len(ids)
                 yield pa.RecordBatch.from_arrays(
@@ -306,7 +307,7 @@ def align(documents: DataFrame, first: str, second: str) -> DataFrame:
     rows = kept.filter("pair is null").select("container", "place", *_DOC)
     span = _span(kept)
     scores = pair_counts(kept, span).select("pair", "span", "n_links", "is_best")
-    spread = kept.filter("pair is not null").select("pair", span, "container", "size", "planes").join(scores, ["pair", "span"])
+    spread = kept.filter("pair is not null").select("pair", span, "container", "size", "planes").join(scores.hint("merge"), ["pair", "span"])
     dealt = spread.select("container", "size", "n_links", "is_best", "planes").repartition("container").sortWithinPartitions("container")
 
     def flush(name, best, total):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from tidewatch.llm.common import mix
 from tidewatch.llm.words import powers
 
-CACHE = 600_000
+CACHE = 250_000
 #: Stretches longer than this are encoded each time instead of remembered.
 LONG = 64
 _MARK = "▁"

@@ -116,6 +116,21 @@ def test_train_evaluate_and_score_file(spark, connections):
     writers.write_metrics(evaluate.metrics_document(evaluate.evaluate_detectors(scores), {"fpr_max": 0.15}), path)
     doc = spark.read.json(path).first()
     assert doc.targets.fpr_max == 0.15 and len(doc.model_results) == 2
+    judged = evaluate.judged_rows(scores, splits, "conn_key")
+    full = evaluate.metrics_document(
+        evaluate.evaluate_detectors(scores), {"fpr_max": 0.15}, evaluate.error_document(judged, CONNECTION_FEATURES),
+        spark.createDataFrame([(0.5, 0.1)], "f1_mean double, f1_std double"),
+        spark.createDataFrame([(1, "hot", 0.2), (2, "land", 0.1)], "place int, feature string, effect double"))
+    writers.write_metrics(full, path)
+    doc = spark.read.json(path).first()
+    assert doc.cross_validation.f1_std == 0.1 and [r.feature for r in doc.top_features] == ["hot", "land"]
+    local = judged.where("model = 'LOF'").toPandas()
+    fp, tp = local[(local.label == 0) & (local.pred == 1)], local[(local.label == 1) & (local.pred == 1)]
+    mine = next(r for r in doc.error_analysis if r.model == "LOF")
+    assert mine.false_positives["count"] == len(fp) and abs(mine.false_positives.avg_score - fp.score.mean()) < 1e-4
+    numeric = CONNECTION_FEATURES[:10]
+    diff = (fp[numeric].mean() - tp[numeric].mean()).abs().sort_values(ascending=False)
+    assert mine.fp_vs_tp_mean_diff[0].feature == diff.index[0] and len(mine.fp_vs_tp_mean_diff) == 5
     source = scratch(spark, "input")
     rows.select(*CONNECTION_FEATURES, "label").write.option("header", True).csv(source)
     # the label column of the file is ignored
@@ -162,5 +177,5 @@ def test_supervised_baseline_learns(connections):
     from tidewatch.operators.supervised import supervised_baseline
 
     planted = connections.withColumn("label", (F.col("src_bytes") > 60000).cast("int"))
-    out = supervised_baseline(planted, "conn_key", num_trees=10, max_depth=5).first()
+    out = supervised_baseline(planted, "conn_key", num_trees=10).first()
     assert out.accuracy > 0.95 and out.roc_auc > 0.98

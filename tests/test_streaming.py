@@ -103,3 +103,64 @@ def test_hourly_volume_appends_closed_windows(spark, small):
     hours = adapters.flows(spark, small).select(F.date_trunc("hour", "timestamp")).distinct().count()
     # all but the windows the watermark has not passed yet
     assert hours - 2 <= got.count() < hours
+
+
+def test_a_batch_that_fails_between_two_writes_is_not_seen(spark, small, batch, monkeypatch):
+    """After a failure no output shows a part of the batch; a restart completes it without doubles."""
+    source, out, offsets = scratch(spark, "arriving"), scratch(spark, "out"), scratch(spark, "offsets")
+    events = adapters.table(spark, small, "events").limit(600)
+    for k in (0, 1):
+        events.where(f"event_id % 2 = {k}").coalesce(1).write.mode("append").parquet(source)
+
+    def stream():
+        rows = readers.read_flow_stream(spark, source, schema=EVENT_SCHEMA, files_per_batch=1)
+        return rows.selectExpr(*adapters.select_text(adapters.FLOW_COLUMNS))
+
+    forest = fit_scaled_forest(batch, FLOW_FEATURES, "event_id", IsolationForest(num_trees=5))
+    run, write = detect.StreamDetector(forest, out, threshold=0.0), detect.StreamDetector._write
+
+    def failing(self, df, name, batch_id):
+        if (name, batch_id) == ("fired", 1):
+            raise OSError("disk gone")
+        write(self, df, name, batch_id)
+
+    monkeypatch.setattr(detect.StreamDetector, "_write", failing)
+    with pytest.raises(Exception, match="disk gone"):
+        run.start(stream(), offsets).awaitTermination()
+    outputs = ("scored", "context", "alerts", "fired", "counters")
+    for name in outputs:
+        assert {r[0] for r in run.results(spark, name).select("batch_id").distinct().collect()} == {0}
+    assert spark.read.parquet(f"{out}/scored").select("batch_id").distinct().count() == 2  # the failed batch left some
+    monkeypatch.setattr(detect.StreamDetector, "_write", write)
+    run.start(stream(), offsets).awaitTermination()
+    for name in outputs:
+        assert {r[0] for r in run.results(spark, name).select("batch_id").distinct().collect()} == {0, 1}
+    assert run.results(spark, "scored").count() == events.count() == run.results(spark, "scored").select("event_id").distinct().count()
+
+
+def test_replay_document(spark, streamed, batch):
+    run = streamed[1]
+    doc = detect.replay_document(run, spark).first()
+    assert doc.stream_summary.records == batch.count() and doc.replay_latency.samples == 3
+    assert doc.throughput.records == batch.count() and doc.throughput.seconds > 0
+    alerts = run.results(spark, "alerts")
+    assert sum(r.alerts for r in doc.severity_breakdown) == alerts.count() == doc.detection_summary.alerts_fired
+    assert len(doc.sample_alerts) == 10 and doc.sample_alerts[0].timestamp == alerts.agg(F.min("timestamp")).first()[0]
+
+
+def test_volume_closes_windows_and_sets_late_rows_aside(spark, small):
+    from tidewatch.streaming.volume import HourlyVolume, hourly_sums
+
+    flows, run = adapters.flows(spark, small), HourlyVolume(scratch(spark, "volume"))
+    newest = flows.agg(F.max("timestamp")).first()[0]
+    early = flows.where(F.col("timestamp") < F.lit(newest) - F.expr("interval 10 days"))
+    late = early.where("event_id % 50 = 3")
+    parts = [early.where("event_id % 50 <> 3"), flows.join(early.select("event_id"), "event_id", "left_anti"), late, flows.limit(0)]
+    for k, part in enumerate(parts):
+        run.process(part, k)
+    run.process(parts[0], 0)  # a batch that was committed is not run again
+    assert run.results(spark, "late").count() == late.count() > 0
+    assert run.results(spark, "closed").groupBy("hour_bin").count().where("count > 1").isEmpty()
+    assert run._read(spark, "open", 3).count() <= 2
+    want = hourly_sums(flows)
+    same(run.totals(spark), want, want.columns)

@@ -10,8 +10,10 @@ from tidewatch.functions.rules import SEVERITY_BANDS, anomaly_type, severity
 from tidewatch.operators import alerts as al
 from tidewatch.operators import importance, profiles, supervised
 from tidewatch.operators.forest import IsolationForestModel, grow_forests
+from tidewatch.operators.neighbours import LocalOutlierFactor
 from tidewatch.operators.ordering import record_index
 from tidewatch.operators.prep import apply_scaler, fit_scaler
+from tidewatch.operators.recurrent import RecurrentReconstruction
 from tidewatch.plans import evaluate, score, train
 from tidewatch.schemas import (
     CONNECTION_FEATURES, EVENT_SCHEMA, FLOW_FEATURES, TARGET_AUC, TARGET_FPR, TARGET_PRECISION,
@@ -20,6 +22,7 @@ from tidewatch.schemas import (
 from tidewatch.session import scratch, settle
 from tidewatch.sources import adapters, readers, writers
 from tidewatch.streaming import detect
+from tidewatch.streaming.volume import HourlyVolume
 
 CASE_SEVERITY = "CASE " + " ".join(
     f"WHEN score >= {floor} THEN '{name}'" for name, floor in SEVERITY_BANDS) + " ELSE 'LOW' END"
@@ -150,6 +153,16 @@ def connection_models(spark, d):
     return once(spark, d, "connection_models", lambda: train.train(rows, "conn_key", models=("forest",)))
 
 
+def connection_lof(spark, d):
+    """The outlier factor of the same training rows, fitted where a query asks for it."""
+    def make():
+        splits, *_ = connection_models(spark, d)
+        normal = splits.where("split = 'train'").select("conn_key", F.array(*[F.col(c) for c in CONNECTION_FEATURES]).alias("features"))
+        return LocalOutlierFactor().fit(normal, "conn_key")
+
+    return once(spark, d, "connection_lof", make)
+
+
 @query("isolation_forest_fit")
 def isolation_forest_fit(spark, d):
     rows = settle(rolled(spark, d).where("label = 0"))
@@ -202,6 +215,15 @@ def feature_importance(spark, d):
         importance.feature_importance(models["forest"], splits.where("split = 'test'"), "conn_key"))
 
 
+@query("tree_attributions")
+def tree_attributions(spark, d):
+    """Every test row's exact attributions, beside the score they add up to."""
+    splits, _, _, models = connection_models(spark, d)
+    model, test = models["forest"], splits.where("split = 'test'")
+    parts = importance.tree_attributions(model, test, "conn_key")
+    return parts.join(test.select("conn_key", model.raw_score().alias("raw")), "conn_key")
+
+
 @query("kfold_cv")
 def kfold_cv(spark, d):
     return evaluate.kfold_cv(adapters.connections(spark, d), "conn_key")
@@ -238,17 +260,41 @@ def evaluate_detectors(spark, d):
               "precision", "recall")
 
 
-def _connection_results(spark, d):
-    splits, _, _, models = connection_models(spark, d)
-    return evaluate.evaluate_detectors(evaluate.model_scores(splits, models, "conn_key"))
+def _connection_scores(spark, d):
+    def make():
+        splits, _, _, models = connection_models(spark, d)
+        return settle(evaluate.model_scores(splits, models | {"lof": connection_lof(spark, d)}, "conn_key"))
+
+    return once(spark, d, "connection_scores", make)
+
+
+TARGETS = {"precision_min": TARGET_PRECISION, "recall_min": TARGET_RECALL, "auc_min": TARGET_AUC, "fpr_max": TARGET_FPR}
+
+
+@query("evaluate_connections")
+def evaluate_connections(spark, d):
+    """Forest and outlier factor on connections, thresholds tuned on the validation rows."""
+    return evaluate.evaluate_detectors(_connection_scores(spark, d))
 
 
 @query("write_metrics")
 def write_metrics(spark, d):
+    """The whole metrics document, written and read again; one row per value."""
     path = scratch(spark, "metrics")
-    targets = {"precision_min": TARGET_PRECISION, "recall_min": TARGET_RECALL, "auc_min": TARGET_AUC, "fpr_max": TARGET_FPR}
-    writers.write_metrics(evaluate.metrics_document(_connection_results(spark, d), targets), path)
-    return spark.read.json(path).select("targets.fpr_max", F.inline("model_results"))
+    splits, _, _, models = connection_models(spark, d)
+    scores = _connection_scores(spark, d)
+    errors = evaluate.error_document(evaluate.judged_rows(scores, splits, "conn_key"), CONNECTION_FEATURES)
+    top = importance.top_features(importance.feature_importance(models["forest"], splits.where("split = 'test'"), "conn_key"))
+    writers.write_metrics(evaluate.metrics_document(
+        evaluate.evaluate_detectors(scores), TARGETS, errors, evaluate.kfold_cv(adapters.connections(spark, d), "conn_key"), top), path)
+    doc = spark.read.json(path)
+    parts = [doc.select(F.lit(c).alias("section"), F.to_json(F.col(c)).alias("document")) for c in ("targets", "cross_validation")]
+    parts += [doc.select(F.lit(c).alias("section"), F.explode(c).alias("one")).select("section", F.to_json("one").alias("document"))
+              for c in ("model_results", "error_analysis", "top_features")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 @query("write_splits")
@@ -282,6 +328,23 @@ def evaluate_sequence_model(spark, d):
     return evaluate.evaluate_sequence_model(rolled(spark, d), model, scaler)
 
 
+def recurrent_parts(spark, d):
+    return once(spark, d, "recurrent", lambda: train.train_sequence(rolled(spark, d), model=RecurrentReconstruction()))
+
+
+@query("recurrent_reconstruction")
+def recurrent_reconstruction(spark, d):
+    model, scaler = recurrent_parts(spark, d)
+    rows = record_index(rolled(spark, d), ["timestamp", "event_id"])
+    return model.score(apply_scaler(rows, scaler)).select("event_id", "record_index", "anomaly_score")
+
+
+@query("evaluate_recurrent_model")
+def evaluate_recurrent_model(spark, d):
+    model, scaler = recurrent_parts(spark, d)
+    return evaluate.evaluate_sequence_model(rolled(spark, d), model, scaler)
+
+
 # ---- scoring jobs
 
 @query("score_batch")
@@ -314,13 +377,36 @@ def flow_stream(spark, d):
     return events.selectExpr(*adapters.select_text(adapters.FLOW_COLUMNS))
 
 
-def detector_run(spark, d, threshold=None):
+BATCHES = 4
+
+
+def arriving_flows(spark, d):
+    """The events as a stream of ``BATCHES`` files in time order, one file per micro-batch."""
     def make():
-        return detect.stream_detect(
-            flow_stream(spark, d), flow_forest(spark, d), scratch(spark, "detect"), scratch(spark, "offsets"),
-            threshold=threshold)
+        source, events = scratch(spark, "arriving"), adapters.table(spark, d, "events")
+        t = F.unix_micros(F.col("ts").cast("timestamp"))
+        bounds = events.agg(F.percentile_approx(t, [k / BATCHES for k in range(1, BATCHES)], 10_000)).first()[0]
+        # One after the other: the file source takes files in the order of their times.
+        for low, high in zip([None, *bounds], [*bounds, None]):
+            part = events.where(F.lit(True) if low is None else t >= low).where(F.lit(True) if high is None else t < high)
+            part.coalesce(1).write.mode("append").parquet(source)
+        return source
+
+    source = once(spark, d, "arriving", make)
+    stream = readers.read_flow_stream(spark, source, schema=EVENT_SCHEMA, files_per_batch=1)
+    return stream.selectExpr(*adapters.select_text(adapters.FLOW_COLUMNS))
+
 
-    return once(spark, d, f"detect-{threshold}", make)
+def detector_run(spark, d):
+    """Detection on the events as they are, in one micro-batch."""
+    return once(spark, d, "detect", lambda: detect.stream_detect(
+        flow_stream(spark, d), flow_forest(spark, d), scratch(spark, "detect"), scratch(spark, "offsets")))
+
+
+def carried_run(spark, d):
+    """Detection at threshold 0 over several micro-batches, with what they carry over."""
+    return once(spark, d, "carried", lambda: detect.stream_detect(
+        arriving_flows(spark, d), flow_forest(spark, d), scratch(spark, "detect"), scratch(spark, "offsets"), threshold=0.0))
 
 
 @query("read_flow_stream", sql("SELECT event_id, timestamp, src_ip, packets_count FROM flows", "flows"))
@@ -348,7 +434,7 @@ def score_stream(spark, d):
     CAST(count(packets_count) OVER w AS BIGINT) AS connection_count_5min
     FROM feat WINDOW w AS (PARTITION BY segment ORDER BY timestamp {MINUTES5})""", "feat"))
 def stream_trailing_features(spark, d):
-    rows = detector_run(spark, d, 0.0).results(spark, "scored")
+    rows = carried_run(spark, d).results(spark, "scored")
     return r6(rows.select("event_id", "segment", "record_index", "avg_bytes_per_packet_5min", "max_packets_count_5min",
                           "connection_count_5min"), "avg_bytes_per_packet_5min")
 
@@ -369,13 +455,13 @@ _SEGMENTS = "seg AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY
     count(*) OVER """ + _SEG.format(99, "CURRENT ROW") + """ AS m, list(packet_rate) OVER """ + _SEG.format(99, "CURRENT ROW") + """ AS v FROM seg))""",
     "feat", extra=_SEGMENTS))
 def stream_state(spark, d):
-    return detector_run(spark, d, 0.0).results(spark, "context").select(
+    return carried_run(spark, d).results(spark, "context").select(
         "segment", "record_index", "spike", "unique_sources", "loss_level")
 
 
 @query("stream_baseline")
 def stream_baseline(spark, d):
-    return detector_run(spark, d).results(spark, "context").select(
+    return carried_run(spark, d).results(spark, "context").select(
         "segment", "record_index", "baseline_mean", "baseline_p95", "trend")
 
 
@@ -386,26 +472,32 @@ def stream_baseline(spark, d):
     SELECT segment, anomaly_type, record_index FROM (SELECT c.segment, c.anomaly_type, min(t.record_index) AS record_index FROM chain c
     JOIN typed t ON t.segment = c.segment AND t.anomaly_type = c.anomaly_type AND t.record_index >= c.record_index + 30 GROUP BY ALL))"""))
 def stream_cooldown(spark, d):
-    return detector_run(spark, d, 0.0).results(spark, "fired").select("segment", "anomaly_type", "record_index")
+    return carried_run(spark, d).results(spark, "fired").select("segment", "anomaly_type", "record_index")
 
 
 @query("stream_hourly_volume", sql(
     """SELECT date_trunc('hour', timestamp) AS hour_bin, CAST(coalesce(sum(packets_count) FILTER (label = 0), 0) AS BIGINT) AS normal_packets,
     CAST(coalesce(sum(packets_count) FILTER (label = 1), 0) AS BIGINT) AS anomalous_packets FROM flows GROUP BY 1""", "flows"))
 def stream_hourly_volume(spark, d):
-    path = scratch(spark, "volume")
-    counts = detect.stream_hourly_volume(flow_stream(spark, d))
-    counts.writeStream.outputMode("complete").foreachBatch(
-        lambda df, i: df.write.mode("overwrite").parquet(path)
-    ).option("checkpointLocation", scratch(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
-    return ntz(spark.read.parquet(path), "hour_bin")
+    """Windows closed behind the watermark, those still open, and late rows, over several micro-batches."""
+    run = HourlyVolume(scratch(spark, "volume"))
+    run.start(arriving_flows(spark, d), scratch(spark, "offsets")).awaitTermination()
+    return ntz(run.totals(spark), "hour_bin")
+
+
+@query("replay_document")
+def replay_document(spark, d):
+    """The summary of the replay: its sections as JSON; times differ from run to run and are left out."""
+    doc = detect.replay_document(carried_run(spark, d), spark)
+    names = [c for c in doc.columns if c not in ("replay_latency", "throughput")]
+    return doc.select(F.inline(F.array(*[F.struct(F.lit(c).alias("section"), F.to_json(F.col(c)).alias("document")) for c in names])))
 
 
 @query("stream_counters", sql(
     """SELECT count(*) AS records, count(*) FILTER (label = 1) AS known_anomalies, count(*) AS alerts_fired,
     count(*) FILTER (label = 1) AS true_positives, count(*) FILTER (label = 0) AS false_positives, CAST(0 AS BIGINT) AS late_records FROM flows""", "flows"))
 def stream_counters(spark, d):
-    return detect.stream_summary(detector_run(spark, d, 0.0).results(spark, "counters")).drop(
+    return detect.stream_summary(carried_run(spark, d).results(spark, "counters")).drop(
         "precision", "recall", "false_positive_rate")
 
 
@@ -418,4 +510,4 @@ def stream_detect(spark, d):
 @query("stream_parity", sql(f"SELECT event_id, {REPLAY_TYPE} AS anomaly_type FROM feat", "feat"))
 def stream_parity(spark, d):
     """At threshold 0 every record is an alert, typed as in batch."""
-    return detector_run(spark, d, 0.0).results(spark, "alerts").select("event_id", "anomaly_type")
+    return carried_run(spark, d).results(spark, "alerts").select("event_id", "anomaly_type")

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 from tidewatch.functions.features import binarize_label, normal_only, normalize_score
 from tidewatch.operators.forest import IsolationForest
 from tidewatch.operators.metrics import (
-    calibrate_scores, classification_metrics, error_analysis, kfold_summary, target_flags,
+    calibrate_scores, classification_metrics, error_analysis, error_features, kfold_summary, target_flags,
     tune_threshold,
 )
-from tidewatch.operators.ordering import exact_percentile, record_index
+from tidewatch.operators.ordering import exact_percentile, join_on, record_index
 from tidewatch.operators.prep import (
     SEED, apply_scaler, encode, fit_frequency_encoder, fit_scaler, stratified_kfold,
     temporal_split,
@@ -23,7 +23,7 @@ def with_tuned_threshold(scores: DataFrame, by=("model",)) -> DataFrame:
     """Add ``threshold`` and ``pred``: tuned on ``split = 'val'``, applied to every split."""
     by = list(by)
     tuned = tune_threshold(scores.where("split = 'val'"), tuple(by)).select(*by, "threshold")
-    return scores.join(F.broadcast(tuned), by).withColumn(
+    return join_on(scores, tuned, by).withColumn(
         "pred", (F.col("score") >= F.col("threshold")).cast("int"))
 
 
@@ -39,10 +39,38 @@ def evaluate_detectors(scores: DataFrame) -> DataFrame:
     return metrics.join(errors, "model").join(cuts, "model")
 
 
-def metrics_document(results: DataFrame, targets: dict) -> DataFrame:
-    """One row of nested structs: targets, model results."""
-    return results.agg(F.sort_array(F.collect_list(F.struct(*results.columns))).alias("model_results")).select(
+def error_document(judged: DataFrame, cols, first: int = 10, top: int = 5) -> DataFrame:
+    """One row per model: its false positives and negatives, and the features that tell its false positives from its true ones.
+
+    ``judged`` has model, label, score, pred and the feature columns; the ``first`` features are compared.
+    """
+    counts = error_analysis(judged, ("model",))
+    sides = {"false_positives": "fp", "false_negatives": "fn"}
+    shown = counts.select("model", *[
+        F.struct(F.col(f"{c}_count").alias("count"), F.round(f"{c}_avg_score", 4).alias("avg_score")).alias(name)
+        for name, c in sides.items()])
+    diffs = error_features(judged, cols, ("model",), top, first).groupBy("model").agg(F.sort_array(F.collect_list(
+        F.struct("place", "feature", F.round("mean_diff", 4).alias("mean_diff")))).alias("fp_vs_tp_mean_diff"))
+    return join_on(shown, diffs, "model", "left")
+
+
+def metrics_document(results: DataFrame, targets: dict, errors: DataFrame | None = None,
+                     kfold: DataFrame | None = None, importances: DataFrame | None = None) -> DataFrame:
+    """One row of nested structs: targets, model results, and what else is given.
+
+    ``errors`` is an ``error_document``, ``kfold`` the summary of a cross-validation, ``importances`` a table of top features.
+    """
+    def several(df, name):
+        return df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name))
+
+    out = several(results, "model_results").select(
         F.struct(*[F.lit(v).alias(k) for k, v in targets.items()]).alias("targets"), "model_results")
+    if kfold is not None:
+        out = out.crossJoin(kfold.select(F.struct(*kfold.columns).alias("cross_validation")))  # one row each
+    for df, name in ((errors, "error_analysis"), (importances, "top_features")):
+        if df is not None:
+            out = out.crossJoin(several(df, name))
+    return out
 
 
 def kfold_scores(
@@ -114,6 +142,12 @@ def evaluate_sequence_model(features: DataFrame, model: SequenceModel, scaler: d
         error_analysis(judged).drop("fp_count", "fn_count"))
 
 
+def judged_rows(scores: DataFrame, splits: DataFrame, key: str, cols=CONNECTION_FEATURES) -> DataFrame:
+    """Test rows of every model with score, ``pred`` by its tuned threshold, and the feature columns."""
+    judged = with_tuned_threshold(scores).where("split = 'test'").select("model", key, "label", "score", "pred")
+    return judged.join(splits.where("split = 'test'").select(key, *cols), key)
+
+
 def model_scores(splits: DataFrame, models: dict, key: str, cols=CONNECTION_FEATURES) -> DataFrame:
     """Long score table (model, split, key, label, score) of the validation and test rows."""
     rows = splits.where("split <> 'train'").withColumn("label", binarize_label("label"))

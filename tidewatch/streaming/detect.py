@@ -4,8 +4,8 @@ A keyed state function would give all records of a segment to one task, and one
 carry a third of the traffic. Instead each micro-batch is processed by the same distributed
 operators as a table. What they need of the past is carried over as small tables in a folder
 per batch: the flows of the last window and the allowed lateness, the last records, the next index and the last fired
-alerts of each segment. Every folder is written once per batch id, so a repeated batch after a
-failure replaces its own output and reads the same state.
+alerts of each segment. All outputs of a batch become visible with its manifest (``commits``), and a
+repeated batch after a failure reads the same state.
 """
 
 from dataclasses import dataclass
@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from tidewatch.functions.features import add_row_features, fill_features, predict
 from tidewatch.operators.alerts import build_alerts, ddos_message, loss_message
 from tidewatch.operators.ordering import join_on, record_index
-from tidewatch.operators.profiles import detection_summary
+from tidewatch.operators.profiles import THROUGHPUT_TARGET, breakdown, detection_summary, latency_summary
 from tidewatch.operators.sequence_windows import (
     alert_cooldown, ddos_spike, packet_loss_trend, rolling_score_baseline,
 )
 from tidewatch.operators.trailing import add_rolling_features
 from tidewatch.plans.train import ScaledForest
-from tidewatch.session import remove, scope, settle
+from tidewatch.session import settle
+from tidewatch.streaming.commits import BatchOutputs
 
 HISTORY = 199
 
@@ -41,7 +42,7 @@ def tail_of_index(df: DataFrame, by: str, n: int) -> DataFrame:
 
 
 @dataclass
-class StreamDetector:
+class StreamDetector(BatchOutputs):
     forest: ScaledForest
     out: str
     key: str = "event_id"
@@ -54,20 +55,9 @@ class StreamDetector:
     cooldown: int = 30
     threshold: float | None = None
 
-    def _read(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame | None:
-        return spark.read.parquet(f"{self.out}/{name}/batch_id={batch_id}") if batch_id >= 0 else None
+    carried: tuple = ("state_flows", "state_index", "state_records", "state_fires")
 
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.out}/{name}/batch_id={batch_id}")
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Detect on one micro-batch; its cuts go with it, and so does state that no batch can ask for."""
-        with scope(batch.sparkSession):
-            self._process(batch, batch_id)
-        for name in ("state_flows", "state_index", "state_records", "state_fires"):
-            remove(batch.sparkSession, f"{self.out}/{name}/batch_id={batch_id - 2}")
-
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
+    def detect(self, batch: DataFrame, batch_id: int) -> None:
         spark, by, key = batch.sparkSession, self.segment, self.key
         raw = batch.columns
         fresh = settle(batch.withColumn("_new", F.lit(True)))
@@ -139,15 +129,6 @@ class StreamDetector:
         self._write(last.groupBy(*keys).agg(F.max("record_index").alias("record_index")),
                     "state_fires", batch_id)
 
-    def start(self, stream: DataFrame, checkpoint: str, available_now: bool = True, every: str = "30 seconds"):
-        writer = stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
-        writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
-        return writer.start()
-
-    def results(self, spark: SparkSession, name: str) -> DataFrame:
-        """All batches of an output: scored, context, alerts, fired or counters."""
-        return spark.read.parquet(f"{self.out}/{name}")
-
 
 def stream_detect(stream: DataFrame, forest: ScaledForest, out: str, checkpoint: str, **options):
     """Run detection on everything available in ``stream`` and wait; returns the detector."""
@@ -172,6 +153,47 @@ def stream_summary(counters: DataFrame) -> DataFrame:
     })
 
 
+def batch_latencies(run: BatchOutputs, spark: SparkSession) -> DataFrame:
+    """(batch_id, started, seconds, records, ms): how long each batch took, and what it took for each record."""
+    records = run.results(spark, "counters").select("batch_id", "records")
+    return run.commits(spark).join(records, "batch_id").withColumn(
+        "ms", 1000 * F.col("seconds") / F.greatest("records", F.lit(1)))
+
+
+def replay_document(run: BatchOutputs, spark: SparkSession, alerts: int = 10) -> DataFrame:
+    """One row of nested structs that sums a replay up: counts, latency, throughput, breakdowns, first alerts.
+
+    Latency and throughput come from the manifests of its batches. Everything inside is an
+    aggregate or the ``alerts`` first alerts.
+    """
+    def one(df, name):
+        return df.select(F.struct(*df.columns).alias(name))
+
+    def several(df, name):
+        return df.agg(F.sort_array(F.collect_list(F.struct(*df.columns))).alias(name))
+
+    totals = stream_summary(run.results(spark, "counters"))
+    latencies = settle(batch_latencies(run, spark))
+    latency = latency_summary(latencies, "ms")
+    speed = latencies.agg(F.sum("records").alias("records"), F.sum("seconds").alias("seconds"))
+    speed = speed.withColumn("records_per_second", F.col("records") / F.greatest("seconds", F.lit(1e-9)))
+    speed = speed.withColumn("meets_target", F.col("records_per_second") >= THROUGHPUT_TARGET)
+    raised = run.results(spark, "alerts")
+    sample = raised.orderBy("timestamp", run.key).limit(alerts).select(
+        "timestamp", run.key, run.segment, "record_index", "anomaly_type", "severity", "confidence", "src_ip", "dst_ip", "recommended_action")
+    parts = [
+        one(totals.select("records", "known_anomalies", "late_records"), "stream_summary"),
+        one(latency, "replay_latency"), one(speed, "throughput"),
+        one(totals.select("alerts_fired", "true_positives", "false_positives", *[
+            F.round(c, 4).alias(c) for c in ("precision", "recall", "false_positive_rate")]), "detection_summary"),
+        several(breakdown(raised, "severity"), "severity_breakdown"),
+        several(breakdown(raised, "anomaly_type"), "anomaly_type_breakdown"), several(sample, "sample_alerts")]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.crossJoin(part)  # one row each
+    return out
+
+
 def write_alert_stream(alerts: DataFrame, path: str, checkpoint: str):
     """Append streaming alert rows as parquet files."""
     return alerts.writeStream.format("parquet").option("path", path).option(

@@ -23,13 +23,30 @@ def spark():
     s.stop()
 
 
+def flow_vector(duration, packets, size, protocol, hour, weekday, port, neighbours):
+    """One feature vector from what was seen of a flow; rates and flags follow from it."""
+    volume = packets * size
+    flags = [float(protocol == p) for p in ("tcp", "udp", "icmp")]
+    clock = [hour, weekday, float(9 <= hour <= 17), float(weekday >= 5), float(port < 1024)]
+    return [duration, volume, packets, size, packets / duration, volume / duration, *flags, *clock, size, packets, neighbours]
+
+
 def feature_rows(n, seed, anomalous=False):
-    """Feature vectors around a normal or an anomalous profile."""
+    """Page views of an office morning, or a night-time flood of small datagrams.
+
+    Durations and packet counts are log-normal, as sizes of flows usually are; the flood is steadier.
+    """
     rng = np.random.default_rng(seed)
-    normal = [1.5, 5000, 20, 250, 15, 3000, 1, 0, 0, 13, 2, 1, 0, 1, 250, 20, 8]
-    attack = [0.1, 500_000, 800, 625, 8000, 5_000_000, 1, 0, 0, 14, 2, 1, 0, 1, 625, 800, 300]
-    centre, spread = (np.array(attack), 0.05) if anomalous else (np.array(normal), 0.2)
-    return np.abs(centre * (1 + spread * rng.normal(size=(n, 17))))
+    rows = []
+    for _ in range(n):
+        if anomalous:
+            rows.append(flow_vector(
+                0.4 * rng.lognormal(0, 0.1), round(3_000 * rng.lognormal(0, 0.1)), 64, "udp", rng.integers(1, 5), 6, 53, rng.integers(400, 600)))
+        else:
+            rows.append(flow_vector(
+                2.2 * rng.lognormal(0, 0.3), round(34 * rng.lognormal(0, 0.3)), 700 * rng.lognormal(0, 0.2), "tcp",
+                rng.integers(8, 12), rng.integers(0, 5), rng.choice([80, 443, 8080]), rng.integers(4, 14)))
+    return np.array(rows, dtype=float)
 
 
 @pytest.fixture(scope="session")

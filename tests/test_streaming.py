@@ -164,3 +164,25 @@ def test_volume_closes_windows_and_sets_late_rows_aside(spark, small):
     assert run._read(spark, "open", 3).count() <= 2
     want = hourly_sums(flows)
     same(run.totals(spark), want, want.columns)
+
+
+def test_silent_segments_leave_the_state(spark, small, batch):
+    """With a time to live, a segment that falls silent is forgotten; one that goes on keeps its place."""
+    forest = fit_scaled_forest(batch, FLOW_FEATURES, "event_id", IsolationForest(num_trees=5))
+    flows = adapters.flows(spark, small).orderBy("timestamp", "event_id").limit(300).drop("segment")
+    start = flows.agg(F.min("timestamp")).first()[0]
+
+    def part(low, high, hour, segment):
+        at = F.lit(start) + F.make_dt_interval(F.lit(0), F.lit(hour), F.lit(0), F.col("event_id") % 60)
+        return flows.where(f"event_id % 300 >= {low} and event_id % 300 < {high}").withColumn("timestamp", at).withColumn("segment", F.lit(segment))
+
+    run = detect.StreamDetector(forest, scratch(spark, "out"), threshold=0.0, idle_s=7_200)
+    batches = [part(0, 40, 0, 1).unionByName(part(40, 80, 0, 2)), part(80, 120, 5, 2), part(120, 150, 6, 1).unionByName(part(150, 180, 6, 2))]
+    for k, rows in enumerate(batches):
+        run.process(rows, k)
+        if k == 1:
+            for name in run.carried:
+                assert {r.segment for r in run._read(spark, name, 1).select("segment").distinct().collect()} == {2}
+    firsts = {r.segment: r.first for r in run.results(spark, "scored").where("batch_id = 2").groupBy("segment").agg(
+        F.min("record_index").alias("first")).collect()}
+    assert firsts[1] == 0 and firsts[2] == batches[0].where("segment = 2").count() + batches[1].count()

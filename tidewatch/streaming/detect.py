@@ -52,6 +52,8 @@ class StreamDetector(BatchOutputs):
     #: How much older than its segment's newest record a record may come and still get its whole window.
     lateness_s: float = 300
     history: int = HISTORY
+    #: A segment that is this much older than the newest record of all leaves the state; if it comes again, it starts anew.
+    idle_s: float | None = None
     cooldown: int = 30
     threshold: float | None = None
 
@@ -75,7 +77,7 @@ class StreamDetector(BatchOutputs):
         starts = self._read(spark, "state_index", batch_id - 1)
         if starts is not None:
             indexed = join_on(indexed, starts, by, "left").withColumn(
-                "record_index", F.col("record_index") + F.coalesce("_next", F.lit(0))).drop("_next")
+                "record_index", F.col("record_index") + F.coalesce("_next", F.lit(0))).drop("_next", "_seen")
         indexed = settle(indexed)
         self._write(indexed, "scored", batch_id)
 
@@ -116,18 +118,23 @@ class StreamDetector(BatchOutputs):
         self._write(counters, "counters", batch_id)
 
         # State for the next batch.
-        self._write(tail_of_time(flows.select(*raw, "_new"), by, self.window_s + self.lateness_s).drop("_new"),
-                    "state_flows", batch_id)
-        self._write(tail_of_index(lines.drop("_new"), by, self.history), "state_records", batch_id)
-        counts = indexed.groupBy(by).agg((F.max("record_index") + 1).alias("_next"))
-        if starts is not None:
-            counts = counts.unionByName(starts).groupBy(by).agg(F.max("_next").alias("_next"))
-        self._write(counts, "state_index", batch_id)
         last = fired.select(*keys, "record_index")
         if fires is not None:
             last = last.unionByName(fires)
-        self._write(last.groupBy(*keys).agg(F.max("record_index").alias("record_index")),
-                    "state_fires", batch_id)
+        counts = indexed.groupBy(by).agg((F.max("record_index") + 1).alias("_next"), F.max("timestamp").alias("_seen"))
+        if starts is not None:
+            counts = counts.unionByName(starts).groupBy(by).agg(F.max("_next").alias("_next"), F.max("_seen").alias("_seen"))
+        state = {
+            "state_flows": tail_of_time(flows.select(*raw, "_new"), by, self.window_s + self.lateness_s).drop("_new"),
+            "state_records": tail_of_index(lines.drop("_new"), by, self.history), "state_index": counts,
+            "state_fires": last.groupBy(*keys).agg(F.max("record_index").alias("record_index"))}
+        if self.idle_s is not None:
+            counts = settle(counts)
+            newest = counts.agg(F.max(F.unix_micros("_seen"))).first()[0]
+            alive = counts.where(F.unix_micros("_seen") >= F.lit((newest or 0) - int(self.idle_s * 1_000_000))).select(by)
+            state = {name: join_on(df, alive, by, "left_semi") for name, df in state.items()}
+        for name, df in state.items():
+            self._write(df, name, batch_id)
 
 
 def stream_detect(stream: DataFrame, forest: ScaledForest, out: str, checkpoint: str, **options):

@@ -2,7 +2,8 @@
 
 Every stage works on all documents its predecessor kept. All but the last return the columns of
 ``documents``; the last returns the packed pieces. SQL cannot state the model-based stages, so
-``ORACLE_SQL`` is None and the tests hold the stages against brute force.
+``ORACLE_SQL`` is None; the tests hold near duplicates, decontamination and packing against brute force and
+the others against bounds of quality.
 """
 
 from tidewatch.llm.common import store, table

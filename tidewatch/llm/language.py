@@ -86,8 +86,9 @@ def fit(rows: DataFrame, most: int = FITTED_ROWS) -> TextModel:
             names = np.array(batch.column("lang").to_pylist(), dtype=object)
             for name in set(names):
                 data, bounds = utf8(batch.column("text").filter(pa.array(names == name)))
-                counts = np.bincount(trigrams(data, bounds)[0], minlength=BUCKETS + 1)
-                own[name] = own.get(name, 0) + counts
+                for low, high in blocks(bounds, _BLOCK_BYTES):
+                    found = trigrams(data[bounds[low]:bounds[high]], bounds[low:high + 1] - bounds[low])[0]
+                    own[name] = own.get(name, 0) + np.bincount(found, minlength=BUCKETS + 1)
         for name, counts in own.items():
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(used), pa.string()), "bucket": pa.array(used), "n": pa.array(counts[used])})

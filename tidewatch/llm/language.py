@@ -24,7 +24,7 @@ DECLARED_TRUE, SUFFIX_TRUE = 0.9, 0.7
 SMOOTHING = 20.0
 ACCEPTED = 0.3
 BROADCAST_HOSTS = 200_000
-_BLOCK_BYTES = 4 << 20
+_BLOCK_BYTES = 1 << 20
 _MARKUP = r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})\b"
 _ADDRESS = r"(?i)\bhttps?://([a-z0-9.-]*[a-z0-9])"
 

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -6,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import ODD, bag, words
 from tidewatch.llm import decontaminate, fingerprint, language, licenses, neardup, queries, sharding, toxicity
@@ -266,14 +268,82 @@ def test_language_accuracy(spark):
     folder = "/root/testdata/sf0.01"
     rows = queries.op9_language(spark, folder).join(table(spark, folder, "documents").select("doc_id", "lang"), "doc_id").collect()
     assert sum(r.language == r.lang for r in rows) >= 0.99 * len(rows) and sum(r.accepted for r in rows) >= 0.99 * len(rows)
-    model = language.fit(table(spark, folder, "documents"))
+    documents = table(spark, folder, "documents")
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    model = language.fit(documents.filter(~held))
+    rows = language.document_languages(documents.filter(held), model).join(documents.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) > 300 and sum(r.language == r.lang and r.accepted for r in rows) >= 0.99 * len(rows)
     web = table(spark, folder, "pages")
     pages = language.page_languages(web, model).join(web, "page_id").collect()
     assert sum(f'<html lang="{r.language}"' in r.html for r in pages) >= 0.99 * len(pages)
 
 
+def test_language_says_none_of_these(spark):
+    own = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    foreign = [
+        "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił.",
+        "Однажды весною, в час небывало жаркого заката, появились два гражданина.", "道可道非常道名可名非常名无名天地之始有名万物之母故常无欲以观其妙",
+        "".join(own.choices(letters, k=300)), "".join(own.choices("0123456789abcdef", k=400)),
+        " ".join("".join(own.choices(letters, k=own.randint(2, 9))) for _ in range(60))]
+    documents = table(spark, "/root/testdata/sf0.01", "documents")
+    rows = spark.createDataFrame([(k, t, "src") for k, t in enumerate(foreign)], "doc_id long, text string, source string")
+    got = language.document_languages(rows, language.fit(documents)).collect()
+    assert len(got) == len(foreign) and not any(r.accepted or r.language for r in got)
+
+
+def test_language_of_a_text_by_plain_arithmetic(spark):
+    """Every share of the posterior, worked out one trigram and one piece of evidence at a time."""
+    documents = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text", "lang", "source")
+    model = language.fit(documents)
+    texts = {r.doc_id: (r.text or "", r.source or "") for r in documents.collect()}
+    size = len(model.languages)
+
+    def likely(text):
+        raw = text.encode()
+        low = [b | 32 if 65 <= b <= 90 or 97 <= b <= 122 else b if b > 127 else 32 for b in raw]
+        out, n = np.zeros(size + 1), 0
+        for k in range(len(low) - 2):
+            if low[k + 1] != 32:
+                spot, _ = language.trigrams(np.array(low[k:k + 3], dtype=np.uint8), np.array([0, 3]))
+                out, n = out + model.table[:, spot[0]].astype(float), n + 1
+        return out * language.INDEPENDENT, n
+
+    known = {d: likely(t) for d, (t, _) in texts.items()}
+    def shares(score):
+        share = np.exp(score - score.max())
+        return share / share.sum()
+
+    none = language.NONE_OF_THESE
+    hosts = {}
+    for d, (own, n) in known.items():
+        best = shares(own + np.log([(1 - none) / size] * size + [none])).argmax()
+        if n and best < size:
+            hosts.setdefault(texts[d][1], np.zeros(size))[best] += 1
+    total = sum(hosts.values())
+    everywhere = (total + 1) / (total + 1).sum()
+    suffix = (total + language.SMOOTHING * everywhere) / (total.sum() + language.SMOOTHING)
+    for r in language.document_languages(documents, model).collect():
+        own, n = known[r.doc_id]
+        counts = hosts.get(texts[r.doc_id][1], np.zeros(size))
+        prior = (counts + language.SMOOTHING * suffix) / (counts.sum() + language.SMOOTHING)
+        share = shares(own + np.log([*(np.maximum(prior, 1e-6) * (1 - none)), none]))
+        best = share.argmax()
+        assert r.language == (model.languages[best] if n and best < size else None)
+        assert r.accepted == bool(n and best < size and share[best] >= language.ACCEPTED)
+        assert abs(r.probability - (share[best] if n else 0)) < 1e-5
+
+
+def test_language_keeps_columns_of_any_name(spark):
+    names = ["_host", "_suffix", "_declared", "_counts"]
+    documents = table(spark, "/root/testdata/sf0.001", "documents").withColumns({n: F.lit(n + " mine") for n in names})
+    kept = language.keep_accepted(documents)
+    assert kept.columns == documents.columns
+    assert kept.exceptAll(documents).count() == 0 and kept.count() >= 0.99 * documents.count()
+
+
 def test_language_evidence_tips_the_scale(spark):
-    table_ = np.zeros((2, language.BUCKETS + 1), dtype=np.float32)
+    table_ = np.zeros((3, language.BUCKETS + 1), dtype=np.float32)
     model = language.TextModel(["de", "en"], table_)  # a text model that cannot tell
     rows = spark.createDataFrame(
         [(1, "<html lang=de>", "http://a.com/"), (2, "x y", "http://b.de/"), (3, "", None)], "page_id long, html string, url string")

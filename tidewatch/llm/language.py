@@ -4,6 +4,10 @@ Four kinds of evidence are multiplied: how likely the text's letter trigrams are
 what the markup declares, what the address ends in, and what its host otherwise publishes. Host
 priors come from one grouped aggregation of text-only guesses and are smoothed hierarchically:
 a host leans on its suffix, a suffix on all rows, the less it has the more.
+
+One more class stands for none of the known languages. Its text model knows which letters occur but not their
+order, or only that there are so many trigrams, so letter noise and languages and scripts beyond the
+fitted ones fall to it.
 """
 
 import numpy as np
@@ -23,6 +27,8 @@ DECLARED_TRUE, SUFFIX_TRUE = 0.9, 0.7
 #: Rows of its parent that a host or suffix leans on.
 SMOOTHING = 20.0
 ACCEPTED = 0.3
+#: Share of rows that are expected to be in none of the known languages.
+NONE_OF_THESE = 1e-4
 BROADCAST_HOSTS = 200_000
 _BLOCK_BYTES = 1 << 20
 _MARKUP = r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})\b"
@@ -56,16 +62,36 @@ def trigrams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, letters[bounds[1:]] - letters[bounds[:-1]]
 
 
+def letters_only(found: np.ndarray) -> np.ndarray:
+    """Log likelihood of trigram buckets where letters follow each other by chance.
+
+    ``found`` counts folded bytes. Half of the weight is spread over all buckets alike, so scripts and letters
+    that were never seen have a likelihood too.
+    """
+    alike = np.full(BUCKETS, 1 / BUCKETS)
+    used = np.flatnonzero(found)
+    if not (used != ord(" ")).any():
+        return np.log(alike)
+    share = found[used] / found[used].sum()
+    inner = np.where(used == ord(" "), 0.0, share)
+    weight = share[:, None, None] * (inner / inner.sum())[None, :, None] * share[None, None, :]
+    triples = np.stack(np.meshgrid(used, used, used, indexing="ij"), axis=-1).reshape(-1, 3).astype(np.uint8)
+    bucket, _ = trigrams(triples.ravel(), np.array([0, triples.size]))
+    bucket, weight = bucket[::3], weight.ravel()
+    known = bucket < BUCKETS
+    return np.log(0.5 * alike + 0.5 * np.bincount(bucket[known], weight[known], minlength=BUCKETS))
+
+
 class TextModel:
-    """Log likelihoods of trigram buckets, one row per language and a zero for no trigram."""
+    """Log likelihoods of trigram buckets, one row per language, one for none of them, and a zero for no trigram."""
 
     def __init__(self, languages: list[str], table: np.ndarray):
         self.languages, self.table = languages, table
 
     def evidence(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Log likelihood per language (rows: texts), and how many trigrams a text has."""
+        """Log likelihood per language and for none of them (rows: texts), and how many trigrams a text has."""
         data, bounds = utf8(texts)
-        out, counts = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts), dtype=np.int64)
+        out, counts = np.zeros((len(texts), len(self.table))), np.zeros(len(texts), dtype=np.int64)
         for low, high in blocks(bounds, _BLOCK_BYTES):
             own = bounds[low:high + 1] - bounds[low]
             bucket, counts[low:high] = trigrams(data[bounds[low]:bounds[high]], own)
@@ -87,20 +113,23 @@ def fit(rows: DataFrame, most: int = FITTED_ROWS) -> TextModel:
             for name in set(names):
                 data, bounds = utf8(batch.column("text").filter(pa.array(names == name)))
                 for low, high in blocks(bounds, _BLOCK_BYTES):
-                    found = trigrams(data[bounds[low]:bounds[high]], bounds[low:high + 1] - bounds[low])[0]
-                    own[name] = own.get(name, 0) + np.bincount(found, minlength=BUCKETS + 1)
+                    part = data[bounds[low]:bounds[high]]
+                    found = trigrams(part, bounds[low:high + 1] - bounds[low])[0]
+                    own[name] = own.get(name, 0) + np.append(
+                        np.bincount(found, minlength=BUCKETS + 1), np.bincount(_FOLDED[part], minlength=256))
         for name, counts in own.items():
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(used), pa.string()), "bucket": pa.array(used), "n": pa.array(counts[used])})
 
     counts = some.select("text", "lang").mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(counts["lang"].unique())
-    table = np.zeros((max(len(languages), 1), BUCKETS + 1))
+    table = np.zeros((max(len(languages), 1), BUCKETS + 1 + 256))
     for k, name in enumerate(languages):
         own = counts[counts["lang"] == name]
         table[k, own["bucket"].to_numpy()] = own["n"].to_numpy()
+    background = letters_only(table[:, BUCKETS + 1:].sum(axis=0))
     table = table[:, :BUCKETS] + 0.5
-    table = np.log(table / table.sum(axis=1, keepdims=True))
+    table = np.vstack([np.log(table / table.sum(axis=1, keepdims=True)), background])
     return TextModel(languages or ["und"], np.column_stack([table, np.zeros(len(table))]).astype(np.float32))
 
 
@@ -117,8 +146,10 @@ def with_evidence(rows: DataFrame, text: str, host: Column, address: Column) ->
 
 
 def _posterior(model: TextModel, batch: pa.RecordBatch, text: str, prior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages and, last, of none of them; how many trigrams a text has."""
     likely, counts = model.evidence(batch.column(text))
-    score = likely + np.log(prior)
+    outside = np.full((len(prior), 1), NONE_OF_THESE)
+    score = likely + np.log(np.column_stack([prior * (1 - NONE_OF_THESE), outside]))
     for name, true in (("_declared", DECLARED_TRUE), ("_suffix", SUFFIX_TRUE)):
         said = np.array(batch.column(name).to_pylist(), dtype=object)
         for k, language in enumerate(model.languages):
@@ -126,6 +157,7 @@ def _posterior(model: TextModel, batch: pa.RecordBatch, text: str, prior: np.nda
             known = np.isin(said, model.languages)
             other = (1 - true) / max(len(model.languages) - 1, 1)
             score[known, k] += np.where(said[known] == language, np.log(true), np.log(max(other, 1e-3)))
+        score[known, -1] += np.log(1 / len(model.languages))  # what is said of a text in no known language is chance
     score -= score.max(axis=1, keepdims=True)
     share = np.exp(score)
     return share / share.sum(axis=1, keepdims=True), counts
@@ -138,7 +170,7 @@ def host_priors(rows: DataFrame, model: TextModel, text: str) -> tuple[DataFrame
     def run(batches):
         for batch in batches:
             share, counts = _posterior(model, batch, text, np.full((1, k), 1 / k))
-            best = np.where(counts > 0, share.argmax(axis=1), -1)
+            best = np.where(counts > 0, share.argmax(axis=1), -1) if len(share) else np.zeros(0, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("_host"), batch.column("_suffix"), pa.array(best, pa.int32())],
                                              names=["_host", "_suffix", "best"])
 
@@ -157,8 +189,8 @@ def host_priors(rows: DataFrame, model: TextModel, text: str) -> tuple[DataFrame
 def identify(rows: DataFrame, model: TextModel, text: str, output: str, shape) -> DataFrame:
     """Fuse all evidence of ``rows`` (as from ``with_evidence``); ``shape(batch, language, share, accepted)`` makes the result.
 
-    A row without any letter trigram has no language and is not accepted; so is one whose best
-    share is below ``ACCEPTED``.
+    A row without any letter trigram, and one that is most likely in none of the known languages, has no language
+    and is not accepted; nor is one whose best share is below ``ACCEPTED``.
     """
     hosts, suffixes, everywhere = host_priors(rows, model, text)
     k = len(model.languages)
@@ -175,9 +207,10 @@ def identify(rows: DataFrame, model: TextModel, text: str, output: str, shape) -
             share, n = _posterior(model, batch, text, np.maximum(prior, 1e-6))
             best = share.argmax(axis=1) if len(share) else np.zeros(0, dtype=int)
             top = share[np.arange(len(best)), best]
-            accepted = (n > 0) & (top >= ACCEPTED)
-            language = np.array([*model.languages], dtype=object)[best]
-            language[n == 0] = None
+            named = (n > 0) & (best < k)
+            accepted = named & (top >= ACCEPTED)
+            language = np.array([*model.languages, None], dtype=object)[best]
+            language[~named] = None
             yield shape(batch, language, np.where(n > 0, top, 0.0), accepted)
 
     return joined.mapInArrow(run, output)
@@ -188,14 +221,15 @@ def document_evidence(documents: DataFrame) -> DataFrame:
     return with_evidence(documents, "text", F.col("source"), F.col("text"))
 
 
-def document_languages(documents: DataFrame) -> DataFrame:
+def document_languages(documents: DataFrame, model: TextModel | None = None) -> DataFrame:
     """``doc_id``, ``language``, ``probability`` and ``accepted`` of every document.
 
     Needs ``doc_id``, ``text``, ``lang`` and ``source``; ``lang`` is only what the text model is
-    fitted on, other columns are left out. Texts without three bytes around a letter (null, empty, signs) have a null language,
-    probability 0 and are not accepted. Repeated rows stay.
+    fitted on where no ``model`` is given, other columns are left out. Texts without three bytes around a letter (null, empty, signs) have a null language,
+    probability 0 and are not accepted. Texts in none of the fitted languages (other languages and scripts, letter noise)
+    have a null language, the probability of that, and are not accepted. Repeated rows stay.
     """
-    model = fit(documents)
+    model = model or fit(documents)
 
     def shape(batch, language, share, accepted):
         return pa.RecordBatch.from_arrays(
@@ -220,10 +254,13 @@ def page_languages(web: DataFrame, model: TextModel) -> DataFrame:
 
 
 def keep_accepted(documents: DataFrame) -> DataFrame:
-    """The documents whose language is accepted, with all their columns."""
+    """The documents whose language is accepted, with all their columns, whatever their names."""
     names = documents.columns
+    inner = [f"c{k}" for k in range(len(names))]
+    text, source = (inner[[n.lower() for n in names].index(n)] for n in ("text", "source"))
 
     def shape(batch, language, share, accepted):
-        return batch.select(names).filter(pa.array(accepted, pa.bool_()))
+        return batch.select(inner).filter(pa.array(accepted, pa.bool_())).rename_columns(names)
 
-    return identify(document_evidence(documents), fit(documents), "text", documents.schema, shape)
+    rows = with_evidence(documents.toDF(*inner), text, F.col(source), F.col(text))
+    return identify(rows, fit(documents), text, documents.schema, shape)

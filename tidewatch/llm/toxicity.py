@@ -20,7 +20,6 @@ from tidewatch.llm.common import least_hashes
 
 #: Labelled rows that the lexicon is learned from, at most: those with the least hashes.
 LABELLED_ROWS = 20_000
-LEXICON_TERMS = 5_000
 THRESHOLD = 0.7
 SHORTEST, LONGEST = 3, 12
 LEAST_ROWS, LEAST_LIFT = 4, 2.5
@@ -86,7 +85,7 @@ def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[s
     out: dict[str, float] = {}
     starts: set[str] = set()
     for gain, _, term, own in scored:
-        if gain <= chance or len(out) >= LEXICON_TERMS:
+        if gain <= chance:
             break
         if term in starts or any(term[:k] in out for k in range(SHORTEST, len(term))):
             continue

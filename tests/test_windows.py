@@ -190,3 +190,45 @@ def test_cooldown_carry_and_limits(spark):
     assert {(r.record_index, r.anomaly_type) for r in got} == {(41, "a")}
     with pytest.raises(ValueError):
         alert_cooldown(df, cooldown=30, chunk=8)
+
+
+def test_record_windows_equal_frames_with_gaps(spark):
+    """Array operations on chunks give what frames over the last records give, with nulls, NaN, ties and a hot partition."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for part, size in ((None, 260), (1, 2_500), (2, 7)):
+        for i in range(size):
+            x = [None, float("nan"), 0.0, 5.0][rng.integers(4)] if rng.random() < 0.1 else float(rng.lognormal())
+            rows.append((part, i, x, [None, "a", "b", str(rng.integers(30))][rng.integers(4)], f"n{i}" if i % 3 else None))
+    df = spark.createDataFrame(rows, "part int, record_index long, x double, src_ip string, note string").repartition(3)
+    frame = Window.partitionBy("part").orderBy("record_index")
+    w60, w100 = frame.rowsBetween(-59, 0), frame.rowsBetween(-99, 0)
+    full = F.count(F.lit(1)).over(w100) == 100
+    want = df.select(
+        "part", "record_index",
+        F.avg("x").over(frame.rowsBetween(-199, 0)).alias("mean"),
+        F.when(F.count(F.lit(1)).over(frame.rowsBetween(-199, 0)) < 10, 1.0).otherwise(
+            F.percentile("x", 0.95).over(frame.rowsBetween(-199, 0))).alias("p95"),
+        F.avg("x").over(frame.rowsBetween(-4, 0)).alias("rate"),
+        F.percentile("x", 0.5).over(frame.rowsBetween(-59, -5)).alias("base"),
+        F.size(F.collect_set("src_ip").over(frame.rowsBetween(-19, 0))).alias("sources"),
+        F.when(full, F.avg("x").over(frame.rowsBetween(-99, -50))).alias("early"),
+        F.when(full, F.avg("x").over(frame.rowsBetween(-49, 0))).alias("late"))
+    base = rolling_score_baseline(df, "x", partition="part")
+    got = packet_loss_trend(ddos_spike(base, partition="part", rate="x"), partition="part", rate="x")
+    assert "note" in got.columns and got.count() == len(rows)
+    a = got.toPandas().sort_values(["part", "record_index"], ignore_index=True)
+    b = want.toPandas().sort_values(["part", "record_index"], ignore_index=True)
+    for c, d in (("baseline_mean", "mean"), ("baseline_p95", "p95"), ("spike_rate", "rate"), ("spike_baseline", "base"), ("unique_sources", "sources")):
+        assert np.allclose(a[c], b[d], rtol=1e-12, atol=0, equal_nan=True), c
+    there = a.record_index >= 99
+    for c, d in (("loss_early", "early"), ("loss_late", "late")):
+        assert np.allclose(a[c][there], b[d][there], rtol=1e-12, atol=0, equal_nan=True), c
+    assert got.where("baseline_mean IS NULL").count() == want.where("mean IS NULL").count()
+
+
+def test_record_windows_are_worked_out_by_chunk(spark):
+    """No frame of the plan reads a window again for each row."""
+    df = spark.range(50).select(F.lit(1).alias("part"), F.col("id").alias("record_index"), F.rand(1).alias("x"), F.lit("a").alias("src_ip"))
+    out = packet_loss_trend(ddos_spike(rolling_score_baseline(df, "x", partition="part"), partition="part", rate="x"), partition="part", rate="x")
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -272,3 +272,51 @@ def test_neighbour_search_sends_less_than_all_pairs(spark):
 
     few, many = sent(2_000), sent(16_000)
     assert many < 2.5 * 8 * few
+
+
+@pytest.mark.parametrize("width", [5, 9])
+def test_looked_up_attributions_equal_the_integral(width):
+    """Columns of rows, with tables for narrow leaves and without for wide ones; a missing value keeps left."""
+    from tidewatch.operators.importance import Leaves
+
+    rng = np.random.default_rng(13)
+    ways = []
+    for _ in range(40):
+        low = rng.normal(size=width) - 1
+        high = low + rng.uniform(0.5, 2, width)
+        low[rng.random(width) < 0.3], high[rng.random(width) < 0.3] = -np.inf, np.inf
+        features = rng.permutation(width + 3)[:width]
+        ways.append((dict(zip(features.tolist(), zip(low, high, rng.uniform(0.1, 0.9, width)))), rng.normal()))
+    x = rng.normal(size=(width + 3, 200))
+    x[rng.random(x.shape) < 0.1] = np.nan
+    leaves, got, want = Leaves(ways), np.zeros(x.shape), np.zeros(x.shape)
+    leaves.add(x, got)
+    value = x.T[:, leaves.feature]
+    parts = leaves.parts(((value > leaves.low) | np.isneginf(leaves.low)) & ~(value > leaves.high))
+    for k, features in enumerate(leaves.feature):
+        want[features] += parts[:, k].T
+    assert np.allclose(got, want, atol=1e-12)
+
+
+@pytest.mark.parametrize("far", [0.0, 1e9])
+def test_second_look_goes_by_groups_of_tiles(spark, monkeypatch, far):
+    """Where nothing can be ruled out a query goes to each group once, however many tiles there are; ties go to the smaller key."""
+    from tidewatch.operators import neighbours
+    from tidewatch.operators.neighbours import CellIndex
+
+    rng = np.random.default_rng(15)
+    x = np.round(rng.normal(size=(1_500, 12)), 1) + far
+    x[700:720] = x[3]
+    rows, asked = [], CellIndex._visit
+
+    def seen(self, sent, *options):
+        rows.append(sent.count())
+        return asked(self, sent, *options)
+
+    monkeypatch.setattr(CellIndex, "_visit", seen)
+    found = knn_join(vector_rows(spark, x[:300]), vector_rows(spark, x), 6, "id", "id", tile=32).toPandas()
+    assert len(rows) == 2 and rows[0] <= 2 * 300 and rows[1] <= (neighbours.SIDE + 2) * 300
+    d = np.sqrt(((x[:300, None] - x[None]) ** 2).sum(2))
+    for i, part in found.sort_values("place").groupby("id"):
+        want = sorted(zip(d[i], range(1_500)))[:6]
+        assert list(part.neighbour) == [j for _, j in want] and list(part.dist) == [v for v, _ in want]

@@ -186,3 +186,42 @@ def test_silent_segments_leave_the_state(spark, small, batch):
     firsts = {r.segment: r.first for r in run.results(spark, "scored").where("batch_id = 2").groupBy("segment").agg(
         F.min("record_index").alias("first")).collect()}
     assert firsts[1] == 0 and firsts[2] == batches[0].where("segment = 2").count() + batches[1].count()
+
+
+def test_batches_of_several_files_keep_their_rows_and_order(spark, small):
+    """Four batches in time order, each of as many files as its rows need; no row is lost or comes twice."""
+    from tidewatch.catalog.base import once
+    from tidewatch.catalog.detection import BATCHES, arriving_flows
+
+    seen = []
+
+    def note(batch, number):
+        seen.append(tuple(batch.agg(F.min("timestamp"), F.max("timestamp"), F.count("*")).first()))
+
+    arriving_flows(spark, small, file_rows=60).writeStream.foreachBatch(note).option(
+        "checkpointLocation", scratch(spark, "offsets")).trigger(availableNow=True).start().awaitTermination()
+    total = spark.read.parquet(f"{small}/events.parquet").count()
+    source, files = once(spark, small, "arriving 60", None)
+    assert len(seen) == BATCHES and sum(n for *_, n in seen) == total
+    assert files == min(n for *_, n in seen) // 60 > 1
+    assert spark.read.parquet(source).select("_metadata.file_path").distinct().count() == BATCHES * files
+    assert all(a[1] < b[0] for a, b in zip(seen, seen[1:]))
+
+
+def test_a_batch_is_scored_once_and_written_once(spark, small, tmp_path, monkeypatch):
+    """The order is found before scoring, so no row is scored for the sampling of the order as well."""
+    from tidewatch.catalog.detection import flow_forest
+
+    ordered, real = [], detect.record_index
+
+    def spy(df, *rest, **options):
+        ordered.append(df.columns)
+        return real(df, *rest, **options)
+
+    monkeypatch.setattr(detect, "record_index", spy)
+    detector = detect.StreamDetector(flow_forest(spark, small), str(tmp_path / "out"), threshold=0.0)
+    detector.process(adapters.flows(spark, small), 0)
+    assert ordered and not any("anomaly_score" in columns for columns in ordered)
+    scored = detector.results(spark, "scored")
+    assert scored.count() == spark.read.parquet(f"{small}/events.parquet").count()
+    assert scored.where("anomaly_score IS NULL OR is_anomaly <> 1").isEmpty()

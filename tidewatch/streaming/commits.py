@@ -30,6 +30,11 @@ class BatchOutputs:
     def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.out}/{name}/batch_id={batch_id}")
 
+    def _keep(self, df: DataFrame, name: str, batch_id: int) -> DataFrame:
+        """Write an output and go on from what was written; it must not change until the batch ends."""
+        self._write(df, name, batch_id)
+        return df.sparkSession.read.schema(df.schema).parquet(f"{self.out}/{name}/batch_id={batch_id}")
+
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
         path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.out}/commits/batch_id={batch_id}/_SUCCESS")
         return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

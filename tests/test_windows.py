@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -81,6 +83,25 @@ def test_hash_rank_is_a_permutation_per_stratum(spark):
         assert sorted(part._rank) == list(range(1, len(part) + 1)) and set(part._size) == {len(part)}
 
 
+def test_hash_rank_works_its_input_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            seen.add(len(pdf))
+            yield pdf
+
+    rows = pd.DataFrame({"id": [f"k{i % 700}" for i in range(900)], "label": [None if i % 7 == 0 else i % 3 for i in range(900)]})
+    df = spark.createDataFrame(rows, "id string, label int")
+    out = hash_rank(df.mapInPandas(count, df.schema), "id", "label", 42, digits=2).toPandas()
+    assert seen.value == 900
+    hashed = out.assign(h=[hashlib.md5(f"42|{k}".encode()).hexdigest() for k in out["id"]]).sort_values("_rank", kind="stable")
+    assert len(out) == 900
+    for _, part in hashed.groupby("label", dropna=False):
+        assert list(part._rank) == list(range(1, len(part) + 1)) and set(part._size) == {len(part)}
+        assert list(part.h) == sorted(part.h)
+
+
 def series(spark, values, parts=3):
     pdf = pd.DataFrame({"record_index": range(len(values)), "packet_rate": values, "score": values,
                         "src_ip": [f"10.0.0.{i % 30}" for i in range(len(values))]})

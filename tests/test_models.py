@@ -228,6 +228,32 @@ def test_sequence_model(spark, mixed):
         SequenceReconstruction().fit(df.where("record_index < 10"), ["a", "b"])
 
 
+def test_sequence_components_come_from_one_pass_over_records(spark):
+    """Moments of windows that span batches and chunks equal those of the expanded windows; the fit expands none."""
+    from tidewatch.operators import sequence
+
+    rng = np.random.default_rng(3)
+    x = np.cumsum(rng.normal(size=(5000, 3)), axis=0) * 0.1 + 50
+    part = np.repeat(["a", "b", None], [2900, 2090, 10])  # the last has no window
+    at = np.concatenate([np.arange(2900), np.arange(2090), np.arange(10)])
+    pdf = pd.DataFrame({"p": part, "record_index": at, "u": x[:, 0], "v": x[:, 1], "w": x[:, 2]})
+    df = spark.createDataFrame(pdf, "p string, record_index long, u double, v double, w double").repartition(7)
+    flat = np.concatenate([np.lib.stride_tricks.sliding_window_view(x[a:b], 20, axis=0).transpose(0, 2, 1).reshape(-1, 60)
+                           for a, b in ((0, 2900), (2900, 4990))])
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "70")
+    try:
+        n, mean, spread = sequence.window_moments(df, ["u", "v", "w"], 20, "p")
+    finally:
+        spark.conf.set(key, before)
+    assert n == len(flat) and np.allclose(mean, flat.mean(0))
+    assert np.allclose(spread / (n - 1), np.cov(flat.T), rtol=1e-9, atol=1e-9)
+    model = SequenceReconstruction(length=20, components=4).fit(df, ["u", "v", "w"], "p")
+    values, vectors = np.linalg.eigh(np.cov(flat.T))
+    assert np.allclose(np.abs(np.sum(model.directions * vectors[:, ::-1][:, :4], axis=0)), 1)
+
+
 def test_missing_and_odd_vectors_neither_crash_nor_vanish(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(60, 3)))]

@@ -254,6 +254,20 @@ def test_sequence_components_come_from_one_pass_over_records(spark):
     assert np.allclose(np.abs(np.sum(model.directions * vectors[:, ::-1][:, :4], axis=0)), 1)
 
 
+def test_sequence_plans_read_only_what_they_need(spark, mixed):
+    """Training and evaluation sort and write time, key, label and features; other columns are not even worked out."""
+    from tidewatch.plans import evaluate, train
+
+    def unread(_):
+        raise AssertionError("a column that nobody needs was worked out")
+
+    rows = mixed.withColumn("event_id", F.col("event_id") * 7 % 330).withColumn("timestamp", F.timestamp_seconds("event_id")).withColumn(
+        "payload", F.udf(unread, "string")("event_id"))
+    model, scaler = train.train_sequence(rows, model=SequenceReconstruction(length=5, components=3))
+    out = evaluate.evaluate_sequence_model(rows, model, scaler).collect()
+    assert len(out) == 1 and out[0].tp + out[0].tn + out[0].fp + out[0].fn == 33
+
+
 def test_missing_and_odd_vectors_neither_crash_nor_vanish(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(rng.normal(size=(60, 3)))]

@@ -1,8 +1,10 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tidewatch.catalog import evaluation
 from tidewatch.operators import alerts as al
 from tidewatch.operators import prep
 from tidewatch.operators.forest import IsolationForest
@@ -103,6 +105,36 @@ def test_kfold_separates_planted_anomalies(connections):
     assert 0 < out.precision_mean <= 1 and out.recall_mean > 0.8
 
 
+def test_folds_are_judged_by_the_rows_of_the_others(spark):
+    """Fold 0 has the high values: a cut fixed beforehand, or one from all rows, would flag other rows."""
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"fold": rng.integers(0, 3, 600), "label": (rng.random(600) < 0.2).astype(int)})
+    rows["value"] = np.round(rng.random(600) * 40) + np.where(rows["fold"] == 0, 30, 0)
+    out = evaluate.fold_scores(spark.createDataFrame(rows), "value", k=3).toPandas()
+    for fold, part in out.groupby("fold"):
+        seen = rows.loc[(rows["fold"] != fold) & (rows["label"] == 0), "value"]
+        low, high = seen.min(), seen.max()
+        assert np.allclose(part["score"], ((part["value"] - low) / (high - low)).clip(0, 1))
+        assert (part["pred"] == (part["score"] >= (np.quantile(seen, 0.95) - low) / (high - low)).astype(int)).all()
+    bare = spark.createDataFrame([(0, 0, 1.0), (1, 0, 2.0), (1, 1, None)], "fold int, label int, value double")
+    assert {(r.fold, r.score, r.pred) for r in evaluate.fold_scores(bare, "value", k=2).collect()} == {(0, 0.0, 1), (1, 1.0, 1), (1, None, None)}
+
+
+def test_kfold_summary_has_the_area_of_each_fold(spark, small):
+    """Each of the four measures, as pandas and counting pairs find them."""
+    rows = prep.stratified_kfold(adapters.connections(spark, small).select("conn_key", "label", "duration"), "conn_key").toPandas()
+    found = []
+    for fold in range(5):
+        normal, part = rows[(rows["fold"] != fold) & (rows["label"] == 0)]["duration"], rows[rows["fold"] == fold]
+        hit, truth = part["duration"] >= np.quantile(normal, 0.95), part["label"] == 1
+        tp = (hit & truth).sum()
+        gap = part["duration"][truth].to_numpy()[:, None] - part["duration"][~truth].to_numpy()[None, :]
+        found.append((tp / hit.sum(), tp / truth.sum(), 2 * tp / (hit.sum() + truth.sum()), (gap > 0).mean() + (gap == 0).mean() / 2))
+    out = evaluation.kfold_summary(spark, small).first().asDict()
+    assert list(out) == [f"{n}_{s}" for n in ("precision", "recall", "f1", "roc_auc") for s in ("mean", "std")]
+    assert np.allclose(list(out.values()), np.column_stack([np.mean(found, axis=0), np.std(found, axis=0, ddof=1)]).ravel(), atol=1e-6)
+
+
 def test_train_evaluate_and_score_file(spark, connections):
     planted = plant(connections)
     rows = planted.select("conn_key", "label", *CONNECTION_FEATURES).where(F.pmod(F.hash("conn_key"), F.lit(4)) == 0)

@@ -1,3 +1,6 @@
+import os
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,7 +13,7 @@ from tidewatch.operators import prep
 from tidewatch.operators.forest import IsolationForest
 from tidewatch.plans import evaluate, score, train
 from tidewatch.schemas import CONNECTION_FEATURES, CONNECTION_NUMERICS, FLOW_FEATURES
-from tidewatch.session import scratch
+from tidewatch.session import scratch, settle
 from tidewatch.sources import adapters, checks, readers, writers
 
 FOREST = IsolationForest(num_trees=15)
@@ -105,6 +108,35 @@ def test_kfold_separates_planted_anomalies(connections):
     assert 0 < out.precision_mean <= 1 and out.recall_mean > 0.8
 
 
+def test_csv_is_compressed_and_reads_the_same(spark, connections):
+    rows, path = connections.select(*CONNECTION_FEATURES, "label"), scratch(spark, "packed")
+    writers.write_csv(rows, path)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    again = readers.load_connections(spark, path)
+    assert again.exceptAll(rows).isEmpty() and rows.exceptAll(again).isEmpty()
+    marked = rows.select("duration", F.lit("Normal").alias("prediction"))
+    writers.write_predictions(marked, path)  # takes the place of what is there
+    writers.write_predictions(marked, path + "-plain", "parquet")
+    assert {f.split(".", 1)[1] for f in os.listdir(path) if f.startswith("part-")} == {"csv.gz"}
+    assert spark.read.option("header", True).csv(path).count() == spark.read.parquet(path + "-plain").count() == rows.count()
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark):
+    def held():
+        folders = [os.path.join(at, f) for at, _, files in os.walk(spark.conf.get("spark.local.dir", "/tmp")) for f in files if f.startswith("shuffle_")]
+        return {f for f in folders if f.endswith(".data")}
+
+    before, name = held(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting = spark.conf.get(name, None)
+    settle(spark.range(10_000).repartition(7, "id"))
+    assert spark.conf.get(name, None) == setting
+    deadline = time.time() + 20
+    while held() - before and time.time() < deadline:
+        time.sleep(0.5)
+    assert not held() - before
+
+
 def test_folds_are_judged_by_the_rows_of_the_others(spark):
     """Fold 0 has the high values: a cut fixed beforehand, or one from all rows, would flag other rows."""
     rng = np.random.default_rng(5)

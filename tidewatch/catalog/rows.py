@@ -21,8 +21,7 @@ Q = [f'"{c}"' for c in CONNECTION_FEATURES]
     f"SELECT {', '.join(Q)}, label FROM gappy WHERE label IS NOT NULL", "gappy"))
 def load_connections(spark, d):
     path = scratch(spark, "connections")
-    adapters.connections(spark, d, gaps=True).select(*CONNECTION_FEATURES, "label").write.option(
-        "header", True).csv(path)
+    writers.write_csv(adapters.connections(spark, d, gaps=True).select(*CONNECTION_FEATURES, "label"), path)
     return readers.load_connections(spark, path)
 
 

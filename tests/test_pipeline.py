@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.catalog import evaluation
 from tidewatch.operators import alerts as al
-from tidewatch.operators import prep
+from tidewatch.operators import ordering, prep
 from tidewatch.operators.forest import IsolationForest
 from tidewatch.plans import evaluate, score, train
 from tidewatch.schemas import CONNECTION_FEATURES, CONNECTION_NUMERICS, FLOW_FEATURES
@@ -111,14 +111,15 @@ def test_kfold_separates_planted_anomalies(connections):
 def test_csv_is_compressed_and_reads_the_same(spark, connections):
     rows, path = connections.select(*CONNECTION_FEATURES, "label"), scratch(spark, "packed")
     writers.write_csv(rows, path)
-    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    folder = path.removeprefix("file:")
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
     assert files and all(f.endswith(".csv.gz") for f in files)
     again = readers.load_connections(spark, path)
     assert again.exceptAll(rows).isEmpty() and rows.exceptAll(again).isEmpty()
     marked = rows.select("duration", F.lit("Normal").alias("prediction"))
     writers.write_predictions(marked, path)  # takes the place of what is there
     writers.write_predictions(marked, path + "-plain", "parquet")
-    assert {f.split(".", 1)[1] for f in os.listdir(path) if f.startswith("part-")} == {"csv.gz"}
+    assert {f.split(".", 1)[1] for f in os.listdir(folder) if f.startswith("part-")} == {"csv.gz"}
     assert spark.read.option("header", True).csv(path).count() == spark.read.parquet(path + "-plain").count() == rows.count()
 
 
@@ -167,6 +168,26 @@ def test_kfold_summary_has_the_area_of_each_fold(spark, small):
     assert np.allclose(list(out.values()), np.column_stack([np.mean(found, axis=0), np.std(found, axis=0, ddof=1)]).ravel(), atol=1e-6)
 
 
+def test_hash_rank_sends_no_digest(spark):
+    """What travels is the rows and their bucket; the 16 bytes of the digest are worked out where they arrive."""
+    rows = spark.range(2_000).select(F.col("id").alias("k"), (F.col("id") % 3).alias("by"), F.sha2(F.col("id").cast("string"), 256).alias("more"))
+    path = scratch(spark, "ranked")
+    ranked = ordering.hash_rank(rows, "k", "by", 42)
+    ranked.write.parquet(path)
+    pdf = spark.read.parquet(path).withColumn("h", ordering.order_hash(42, "k")).toPandas()
+    for _, part in pdf.groupby("by"):
+        assert (part.sort_values(["h", "k"])["_rank"].to_numpy() == np.arange(1, len(part) + 1)).all() and (part["_size"] == len(part)).all()
+    plans = []
+    kept = ordering.settle
+    try:
+        ordering.settle = lambda df: plans.append(df) or kept(df)
+        ordering.hash_rank(rows, "k", "by", 42)
+    finally:
+        ordering.settle = kept
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "unhex" not in plan[plan.index("Exchange hashpartitioning"):]
+
+
 def test_train_evaluate_and_score_file(spark, connections):
     planted = plant(connections)
     rows = planted.select("conn_key", "label", *CONNECTION_FEATURES).where(F.pmod(F.hash("conn_key"), F.lit(4)) == 0)

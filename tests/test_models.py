@@ -338,6 +338,42 @@ def test_looked_up_attributions_equal_the_integral(width):
     assert np.allclose(got, want, atol=1e-12)
 
 
+@pytest.mark.parametrize(("features", "bits"), [(3, 9), (12, 9), (12, 4), (1, 9)])
+def test_clumps_answer_for_their_leaves(monkeypatch, features, bits):
+    """Features that come again on a way, missing values, leaves with more features than a code has bits, a tree that is one leaf."""
+    from tidewatch.operators import forest, importance
+
+    monkeypatch.setattr(importance, "CODE_BITS", bits)
+    rng = np.random.default_rng(17)
+    x = np.round(rng.normal(size=(300, features)) * 3)
+    nodes = []
+    for tree in range(6):
+        grown = forest._grow(x if tree else x[:1], np.random.default_rng(tree), 8)
+        nodes += [(0, tree, *n) for n in grown]
+    table = pd.DataFrame(nodes, columns=["forest", "tree", "slot", "feature", "cut", "rows", "path"])
+    table.loc[(table.tree == 0) & (table.slot == 0), "rows"] = 300
+    model = forest.IsolationForestModel(None, table, [f"f{k}" for k in range(features)], 6, 300)
+    asked = np.where(rng.random((500, features)) < 0.1, np.nan, np.round(rng.normal(size=(500, features)) * 3))
+    arrays = importance.LeafArrays(model)
+    got, want = arrays.attributions(asked), np.zeros((features, 500))
+    ways: dict[int, list] = {}
+    for _, tree in table.groupby("tree"):
+        by_slot, todo = {n.slot: n for n in tree.itertuples()}, [(0, {})]
+        while todo:
+            slot, way = todo.pop()
+            if by_slot[slot].feature >= 0:
+                todo += importance.LeafArrays._sides(by_slot, slot, way)
+            elif way:
+                norm = float(forest.mean_path(300))
+                ways.setdefault(len(way), []).append((way, -by_slot[slot].path / norm / 6))
+    for own in ways.values():
+        importance.Leaves(own).add(np.ascontiguousarray(asked.T), want)
+    assert np.allclose(got, want.T, atol=1e-12)
+    assert np.allclose(got.sum(axis=1) + arrays.base, np.log2(forest.NodeArrays(table, 6).raw_scores(asked)))
+    if bits == 9:  # a few leaves share a look
+        assert 3 * sum(len(c.features) for c in arrays.clumps) < sum(width * len(own) for width, own in ways.items())
+
+
 @pytest.mark.parametrize("far", [0.0, 1e9])
 def test_second_look_goes_by_groups_of_tiles(spark, monkeypatch, far):
     """Where nothing can be ruled out a query goes to each group once, however many tiles there are; ties go to the smaller key."""
